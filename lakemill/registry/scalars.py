@@ -277,7 +277,7 @@ def buckets(t):
 
 
 LISTS_SQL = """lists AS (SELECT conv_id, CASE WHEN MAX(turn) = 1 THEN '{bad' WHEN MAX(turn) = 2 THEN '{"turn":1}'
-  ELSE to_json(list({turn: turn, role: role} ORDER BY turn)) END AS turns FROM conversations GROUP BY conv_id)"""
+  ELSE CAST(to_json(list({turn: turn, role: role} ORDER BY turn)) AS VARCHAR) END AS turns FROM conversations GROUP BY conv_id)"""
 
 
 def lists(t):

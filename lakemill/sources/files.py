@@ -40,6 +40,12 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def stored(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Writes Parquet and reads it back with the types it was written with."""
+    write_parquet(df, path, partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
@@ -83,8 +89,7 @@ def fingerprint(df: DataFrame) -> DataFrame:
 
 def copy_checked(df: DataFrame, path: str) -> DataFrame:
     """Copies a dataset and compares what was read with what was written."""
-    df.write.mode("overwrite").parquet(path)
-    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written = stored(df, path)
     before, after = fingerprint(df), fingerprint(written)
     both = before.select(F.col("row_count").alias("rows_read"), F.col("hash_sum").alias("a")).crossJoin(
         F.broadcast(after.select(F.col("row_count").alias("rows_written"), F.col("hash_sum").alias("b")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date, timedelta
 
@@ -14,12 +15,17 @@ ORDER_TIME_LAYOUTS = ("yyyy-MM-dd HH:mm:ss", "dd-MM-yyyy", "yyyy-MM-dd", "yyyy/M
 SECONDS_PER_DAY = 86400
 
 
+def has_layout(c: Column, layout: str) -> Column:
+    """Whether text has the shape of a layout; a cheap test that spares failed parses."""
+    return c.like(re.sub("[a-zA-Z]", "_", layout))
+
+
 def parse_date(c: Column, layouts: Sequence[str] = ("yyyy-MM-dd",)) -> Column:
-    return F.coalesce(*[F.try_to_date(c, layout) for layout in layouts])
+    return F.coalesce(*[F.when(has_layout(c, x), F.try_to_date(c, x)) for x in layouts])
 
 
 def parse_timestamp(c: Column, layouts: Sequence[str] = ("yyyy-MM-dd HH:mm:ss",)) -> Column:
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(layout)) for layout in layouts])
+    return F.coalesce(*[F.when(has_layout(c, x), F.try_to_timestamp(c, F.lit(x))) for x in layouts])
 
 
 def iso_date(c: Column) -> Column:

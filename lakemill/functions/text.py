@@ -10,18 +10,22 @@ from pyspark.sql import functions as F
 # The accepted shape of an e-mail address, and the texts read as true.
 EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
 TRUE_TEXTS = ("true", "1")
+WHITE_SPACE = " \t\n\x0b\f\r"
 
 
 def strip(c: Column) -> Column:
     """Removes white space of any kind, tabs and newlines included, from both ends."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def title_case(c: Column) -> Column:
-    """Capital after every non-letter: `smith-jones` gives `Smith-Jones`. Null stays null."""
-    runs = F.regexp_extract_all(c, F.lit(r"(\p{L}+|\P{L}+)"), F.lit(1))
-    cased = F.transform(runs, lambda run: F.initcap(run))
-    return F.when(c.isNotNull(), F.array_join(cased, ""))
+    """Capital after every non-letter: `smith-jones` gives `Smith-Jones`.
+
+    `initcap` sees words only at spaces, so other marks before a letter get a space for the
+    moment, set off by a control character.
+    """
+    parted = F.regexp_replace(c, r"([^\p{L} ])(?=\p{L})", "$1\u0001 ")
+    return F.replace(F.initcap(parted), F.lit("\u0001 "), F.lit(""))
 
 
 def word_case(c: Column) -> Column:

@@ -239,39 +239,39 @@ def standardise_encounters(raw: DataFrame, layouts: Sequence[str] = dates.DATE_L
     return raw.withColumns(changes)
 
 
-def clean_encounters(
+def distinct_encounters(
     raw: DataFrame, order: str | None = None, layouts: Sequence[str] = dates.DATE_LAYOUTS
 ) -> DataFrame:
-    """Standardises, removes duplicates, then removes rows without a critical value.
-
-    `order` names the lineage column that picks the survivor among equal rows.
-    """
-    ready = standardise_encounters(raw, layouts)
-    columns = business_columns(ready)
-    if order is None:
-        distinct = ready.dropDuplicates(columns)
-    else:
-        distinct = one_per_key(ready, columns, [order])
-    return distinct.dropna(subset=list(CRITICAL_COLUMNS))
+    """One row for each distinct standardised row, with what its copies add up to.
 
-
-def clean_encounters_counts(raw: DataFrame, layouts: Sequence[str] = dates.DATE_LAYOUTS) -> DataFrame:
-    """Invalid dates and negative amounts of all rows, duplicates, then critical nulls.
-
-    Equal rows are counted together before the shuffle, so all four come from one pass.
+    Equal rows are combined before the shuffle. `order` names the lineage column that picks
+    the survivor whose other lineage columns are kept.
     """
     ready = standardise_encounters(raw, layouts)
     columns = business_columns(ready)
+    lineage = [c for c in ready.columns if c not in columns]
     bad_dates = sum((F.col(f"`{c}`").isNull().cast("int") for c in ENCOUNTER_DATES if c in columns), F.lit(0))
-    per_row = ready.groupBy(*named(columns)).agg(
+    row = F.struct(*named(lineage))
+    kept = F.first(row) if order is None else F.min_by(row, F.col(order))
+    groups = ready.groupBy(*named(columns)).agg(
+        kept.alias("_lineage"),
         F.count(F.lit(1)).alias("_copies"),
         F.sum(bad_dates).alias("_bad_dates"),
         F.count_if(NEGATIVE_BILLING).alias("_negative"),
     )
+    return groups.select(*named(columns), "_lineage.*", "_copies", "_bad_dates", "_negative")
+
+
+def complete_encounters(distinct: DataFrame) -> DataFrame:
+    return distinct.dropna(subset=list(CRITICAL_COLUMNS)).drop("_copies", "_bad_dates", "_negative")
+
+
+def encounter_counts(distinct: DataFrame) -> DataFrame:
+    """Invalid dates and negative amounts of all rows, duplicates, then critical nulls."""
     lacking = F.lit(False)
     for c in CRITICAL_COLUMNS:
         lacking = lacking | F.col(f"`{c}`").isNull()
-    return per_row.agg(
+    return distinct.agg(
         F.coalesce(F.sum("_copies"), F.lit(0)).alias("row_count"),
         F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_count"),
         F.count_if(lacking).alias("null_count"),
@@ -280,6 +280,17 @@ def clean_encounters_counts(raw: DataFrame, layouts: Sequence[str] = dates.DATE_
     )
 
 
+def clean_encounters(
+    raw: DataFrame, order: str | None = None, layouts: Sequence[str] = dates.DATE_LAYOUTS
+) -> DataFrame:
+    """Standardises, removes duplicates, then removes rows without a critical value."""
+    return complete_encounters(distinct_encounters(raw, order, layouts))
+
+
+def clean_encounters_counts(raw: DataFrame, layouts: Sequence[str] = dates.DATE_LAYOUTS) -> DataFrame:
+    return encounter_counts(distinct_encounters(raw, None, layouts))
+
+
 # Sales files
 
 

@@ -22,6 +22,7 @@ from lakemill.registry.roles import (
 from lakemill.registry.scalars import PRICES_SQL, prices
 from lakemill.registry.sql import big, day, dbl, half_up, moment, ratio, strip, title
 from lakemill.operators import statistics
+from lakemill.session import settle
 
 
 @entry("D01", NULL_SUMMARY_SQL)
@@ -335,8 +336,8 @@ SILVER_COUNTS_SQL = """SELECT CAST(SUM(copies) AS BIGINT) AS row_count, CAST(SUM
   "Medication", "Test Results", neg AS _dq_negative_billing, n.* FROM kept, n""",
 )
 def clean_encounters(t):
-    raw = roles.raw_encounters(t)
-    return clean.clean_encounters(raw).crossJoin(F.broadcast(clean.clean_encounters_counts(raw)))
+    distinct = settle(clean.distinct_encounters(roles.raw_encounters(t)), "distinct")
+    return clean.complete_encounters(distinct).crossJoin(F.broadcast(clean.encounter_counts(distinct)))
 
 
 @entry(

@@ -21,11 +21,12 @@ def strip(c: Column) -> Column:
 def title_case(c: Column) -> Column:
     """Capital after every non-letter: `smith-jones` gives `Smith-Jones`.
 
-    `initcap` sees words only at spaces, so other marks before a letter get a space for the
-    moment, set off by a control character.
+    `initcap` sees words only at spaces, so where other marks occur, each one before a letter
+    gets a space for the moment, set off by a control character.
     """
     parted = F.regexp_replace(c, r"([^\p{L} ])(?=\p{L})", "$1\u0001 ")
-    return F.replace(F.initcap(parted), F.lit("\u0001 "), F.lit(""))
+    marked = F.replace(F.initcap(parted), F.lit("\u0001 "), F.lit(""))
+    return F.when(c.rlike(r"[^\p{L} ]\p{L}"), marked).otherwise(F.initcap(c))
 
 
 def word_case(c: Column) -> Column:

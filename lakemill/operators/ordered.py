@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from lakemill.session import settle
 
-HOT_ROWS = 4_000_000
+HOT_ROWS = 1_000_000
 MAX_HOT_GROUPS = 10_000
 ROWS = "_rows"
+PLACE_BITS = 33  # of `monotonically_increasing_id`: the place in a partition, below its number
 SLICE, LOCAL, SEGMENT_ROWS = "_slice", "_local", "_segment_rows"
 
 
@@ -200,7 +201,29 @@ def _sliced_groups(df, group, order, slices, number, totals, previous, following
 
 def numbered(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, **options) -> DataFrame:
     """Row number from 1 in each group."""
-    return scan(df, group, order, number=name, **options)
+    if group:
+        return scan(df, group, order, number=name, **options)
+    return positions(df, order, name)
+
+
+def positions(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Row number from 1 over the whole frame; `order` must be a total order.
+
+    The rows are range partitioned, sorted within partitions and settled with their place in
+    the partition; the number of rows in the partitions before is added. No task sees more
+    than its partition, and no window runs over the rows.
+    """
+    keys = sort_columns(order)
+    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_at", F.monotonically_increasing_id())
+    rows = settle(placed, "positions")
+    part = F.shiftright("_at", PLACE_BITS)
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per partition.
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    place = F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) + F.col("_offset") + 1
+    numbered_rows = rows.join(F.broadcast(offsets), part == F.col("_part"))
+    return numbered_rows.select(*[F.col(f"`{c}`") for c in df.columns], place.alias(name))
 
 
 def running_total(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, source: str, **options) -> DataFrame:
@@ -252,9 +275,9 @@ def ranked(
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def tiled(df: DataFrame, order: Sequence[str], tiles: int, name: str, **options) -> DataFrame:
+def tiled(df: DataFrame, order: Sequence[str], tiles: int, name: str) -> DataFrame:
     """`NTILE` over the whole frame: the first tiles take the rows left over."""
-    placed = scan(df, [], order, number="_place", **options)
+    placed = positions(df, order, "_place")
     counted = placed.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("_count"))))
     size = F.floor(F.col("_count") / tiles)
     extra = F.col("_count") % tiles

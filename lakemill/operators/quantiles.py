@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakemill.operators import ordered
-from lakemill.operators.ordered import attach, scan
+from lakemill.operators.dedupe import named
+from lakemill.operators.ordered import SLICE, cut_slices
 from lakemill.session import settle
 
 COUNT = "_count"
@@ -45,29 +46,53 @@ def exact_quantiles(
             )
         )
     if split.hot is not None:
-        parts.append(_sliced_quantiles(split.hot, group, probabilities, name, limit))
+        parts.append(_sliced_quantiles(split.hot, group, probabilities, name, limit, split.hot_rows))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _sliced_quantiles(levels, group, probabilities, name, limit):
-    reached = settle(scan(levels, group, ["_value"], totals={"_to": COUNT}, hot_rows=limit), "reached")
-    sizes = reached.groupBy(*[F.col(f"`{g}`") for g in group]).agg(
-        F.sum(COUNT).alias("_size"), F.count(F.lit(1)).alias("_levels")
+def _sliced_quantiles(levels, group, probabilities, name, limit, rows):
+    """Sorts the values into slices, finds the slices that hold the wanted ranks, reads only these."""
+    keys = named(group)
+    sliced = cut_slices(levels, group, ["_value"], max(2, -(-rows // limit)))
+    ahead = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each slice and hot group.
+    segments = sliced.groupBy(SLICE, *keys).agg(F.sum(COUNT).alias("_n")).withColumns(
+        {
+            "_before": F.coalesce(F.sum("_n").over(ahead), F.lit(0)),
+            "_size": F.sum("_n").over(Window.partitionBy(*keys)),
+        }
     )
-    if group:
-        sized = attach(reached, sizes, group, "_levels", hot_rows=limit)
-    else:
-        sized = reached.crossJoin(F.broadcast(sizes))
-    ends, values = [], []
+    targets = []
+    for i, p in enumerate(probabilities):
+        place = F.lit(float(p)) * (F.col("_size") - 1)
+        for side, rank in (("low", F.floor(place)), ("high", F.ceil(place))):
+            targets.append(F.struct(F.lit(f"{side}_{i}").alias("_target"), rank.cast("bigint").alias("_rank")))
+    wanted = (
+        segments.withColumn("_t", F.explode(F.array(*targets)))
+        .select(*keys, SLICE, "_n", "_before", "_size", "_t._target", "_t._rank")
+        .filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
+    )
+    hits = sliced.join(F.broadcast(wanted.withColumnsRenamed({g: f"_key_{i}" for i, g in enumerate(group)} | {SLICE: "_at"})), _matches(group))
+    local = Window.partitionBy(SLICE, *keys, "_target").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    reached = hits.withColumn("_to", F.col("_before") + F.sum(COUNT).over(local))
+    found = reached.filter((F.col("_to") > F.col("_rank")) & (F.col("_to") - F.col(COUNT) <= F.col("_rank")))
+    picked = found.groupBy(*keys).agg(
+        F.max("_size").alias("_size"),
+        *[F.max(F.when(F.col("_target") == x, F.col("_value"))).alias(x) for i in range(len(probabilities)) for x in (f"low_{i}", f"high_{i}")],
+    )
+    values = []
     for i, p in enumerate(probabilities):
         place = F.lit(float(p)) * (F.col("_size") - 1)
-        for side, target in (("low", F.floor(place)), ("high", F.ceil(place))):
-            covers = (F.col("_to") > target) & (F.col("_to") - F.col(COUNT) <= target)
-            ends.append(F.max(F.when(covers, F.col("_value"))).alias(f"_{side}_{i}"))
         part = place - F.floor(place)
-        values.append(F.col(f"_low_{i}") * (1 - part) + F.col(f"_high_{i}") * part)
-    found = sized.groupBy(*[F.col(f"`{g}`") for g in group]).agg(F.max("_size").alias("_size"), *ends)
-    return found.select(*[F.col(f"`{g}`") for g in group], F.array(*values).alias(name))
+        values.append(F.col(f"low_{i}") * (1 - part) + F.col(f"high_{i}") * part)
+    return picked.select(*keys, F.array(*values).alias(name))
+
+
+def _matches(group):
+    condition = F.col(SLICE) == F.col("_at")
+    for i, g in enumerate(group):
+        condition = condition & F.col(f"`{g}`").eqNullSafe(F.col(f"_key_{i}"))
+    return condition
 
 
 def medians(df: DataFrame, group: Sequence[str], value: str, name: str = "median", **options) -> DataFrame:

@@ -76,7 +76,7 @@ def test_quantiles(rows, group):
 def test_tiled(rows, tiles):
     w = Window.orderBy(F.col("value").desc(), "event_id")
     expected = rows.select("event_id", F.ntile(tiles).over(w).cast("bigint").alias("tile"))
-    same(expected, tiled(rows, ["value desc", "event_id"], tiles, "tile", hot_rows=HOT))
+    same(expected, tiled(rows, ["value desc", "event_id"], tiles, "tile"))
 
 
 def test_attach_keeps_null_keys_and_hot_keys(rows):

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from lakemill.functions import dates, numbers, text
 from lakemill.operators.dedupe import business_columns, named, one_per_key
 from lakemill.operators.quantiles import column_quantiles, exact_quantiles
+from lakemill.operators.rows import beside
 from lakemill.operators.statistics import group_medians_on_rows
 
+
 # The accepted order states, the placeholder for missing text, the marks
 # removed from price text, and the columns of a patient encounter.
 ORDER_STATES = ("PLACED", "SHIPPED", "DELIVERED", "CANCELLED", "RETURNED")
@@ -52,7 +54,7 @@ def fill_with_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         F.max(F.when(F.col("column_name") == c, F.col("q")[0])).alias(f"_median_{i}") for i, c in enumerate(columns)
     ])
     filled = {c: F.coalesce(F.col(f"`{c}`").cast("double"), F.col(f"_median_{i}")) for i, c in enumerate(columns)}
-    return df.crossJoin(F.broadcast(row)).withColumns(filled).select(*named(df.columns))
+    return beside(df, row).withColumns(filled).select(*named(df.columns))
 
 
 def fill_text(df: DataFrame, columns: Sequence[str], placeholder: str = MISSING_TEXT) -> DataFrame:
@@ -209,7 +211,7 @@ def clean_items_counts(raw: DataFrame, orders: DataFrame) -> DataFrame:
         F.count_if("discount_percent_flagged_invalid").alias("order_items_invalid_discount"),
     )
     rows = raw.agg(F.count(F.lit(1)).alias("_rows"))
-    return kept.crossJoin(F.broadcast(rows)).select(
+    return beside(kept, rows).select(
         (F.col("_rows") - F.col("_kept")).alias("order_items_orphans_removed"),
         "order_items_returns",
         "order_items_zero_quantity",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakemill.operators.ordered import attach
 from lakemill.session import settle
 
+
 COPIES = "_copies"
 
 

@@ -14,8 +14,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakemill.operators.rows import beside
 from lakemill.session import settle
 
+
 HOT_ROWS = 1_000_000
 MAX_HOT_GROUPS = 10_000
 ROWS = "_rows"
@@ -67,7 +69,7 @@ def split_groups(df: DataFrame, group: Sequence[str], hot_rows: int) -> Split:
     total = sizes.agg(F.sum(ROWS).alias("_total"))
     # A hot group holds at least one part in MAX_HOT_GROUPS of all rows: the list is bounded.
     hot = (
-        sizes.crossJoin(F.broadcast(total))
+        beside(sizes, total)
         .filter((F.col(ROWS) > hot_rows) & (F.col(ROWS) * MAX_HOT_GROUPS >= F.col("_total")))
         .drop("_total")
     )
@@ -278,7 +280,7 @@ def ranked(
 def tiled(df: DataFrame, order: Sequence[str], tiles: int, name: str) -> DataFrame:
     """`NTILE` over the whole frame: the first tiles take the rows left over."""
     placed = positions(df, order, "_place")
-    counted = placed.crossJoin(F.broadcast(df.agg(F.count(F.lit(1)).alias("_count"))))
+    counted = beside(placed, df.agg(F.count(F.lit(1)).alias("_count")))
     size = F.floor(F.col("_count") / tiles)
     extra = F.col("_count") % tiles
     inside = F.floor((F.col("_place") - 1) / (size + 1)) + 1
@@ -303,7 +305,7 @@ def attach(
     limit = HOT_ROWS if hot_rows is None else hot_rows
     total = lookup.agg(F.sum(weight).alias("_total"))
     heavy = (F.col(weight) > limit) & (F.col(weight) * MAX_HOT_GROUPS >= F.col("_total"))
-    hot = lookup.crossJoin(F.broadcast(total)).filter(heavy).drop("_total").collect()
+    hot = beside(lookup, total).filter(heavy).drop("_total").collect()
     if not hot:
         return _lookup_join(df, lookup.drop(weight), keys)
     few = df.sparkSession.createDataFrame(hot, lookup.schema)

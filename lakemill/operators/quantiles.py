@@ -16,6 +16,7 @@ from lakemill.operators.dedupe import named
 from lakemill.operators.ordered import SLICE, cut_slices
 from lakemill.session import settle
 
+
 COUNT = "_count"
 
 

@@ -10,7 +10,11 @@ from pyspark.sql import functions as F
 
 from lakemill.functions.numbers import mean_of, percent
 from lakemill.operators.dedupe import named
-from lakemill.operators.quantiles import column_quantiles, exact_quantiles, unpivoted
+from lakemill.operators.ordered import attach
+from lakemill.operators.quantiles import column_quantiles, exact_quantiles, medians, unpivoted
+from lakemill.operators.rows import beside
+from lakemill.session import settle
+
 
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -132,7 +136,7 @@ def histogram(df: DataFrame, value: Column, bins: int, upper: float | None = Non
     ends = counts.agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     place = F.floor(F.try_divide((F.col("v") - F.col("lo")) * bins, F.col("hi") - F.col("lo"))) + 1
     spot = F.least(F.coalesce(place, F.lit(1)), F.lit(bins)).cast("bigint")
-    filled = counts.crossJoin(F.broadcast(ends)).groupBy(spot.alias("bin")).agg(F.sum("n").alias("n"))
+    filled = beside(counts, ends).groupBy(spot.alias("bin")).agg(F.sum("n").alias("n"))
     width = (F.col("hi") - F.col("lo")) / bins
     frame = ends.select("lo", "hi", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))).alias("bin"))
     return frame.join(F.broadcast(filled), "bin", "left").select(
@@ -167,17 +171,13 @@ def share_of_rows(df: DataFrame, key: str, count: str = "row_count") -> DataFram
     """Rows per value and their percentage of all rows."""
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias(count))
     total = counted.agg(F.sum(count).alias("_total"))
-    return counted.crossJoin(F.broadcast(total)).withColumn(
+    return beside(counted, total).withColumn(
         "share_percent", percent(F.col(count), F.col("_total"))
     ).drop("_total")
 
 
 def group_medians_on_rows(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Writes the median of the row's group beside the row; a null key gets null."""
-    from lakemill.operators.ordered import attach
-    from lakemill.operators.quantiles import medians
-    from lakemill.session import settle
-
     sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     found = medians(df.filter(F.col(key).isNotNull()), [key], value, name)
     lookup = sizes.join(found, sizes[key].eqNullSafe(found[key]), "left").select(sizes[key], "_rows", name)

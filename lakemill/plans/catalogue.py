@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakemill.functions.nested import first_listed
 from lakemill.functions.numbers import mean_of, ratio, weighted_score
+from lakemill.operators.rows import beside
 from lakemill.operators.sampling import top
 from lakemill.operators.statistics import value_counts, with_top_values
 
@@ -27,7 +28,7 @@ def with_popularity(products: DataFrame, reviewed_only: bool = False) -> DataFra
     score = weighted_score(
         F.col("rating").cast("double"), F.col("ratings_count").cast("double"), F.col("_mean_rating"), F.col("_mean_count")
     )
-    return products.crossJoin(F.broadcast(sums)).withColumn("popularity_score", score).drop("_mean_rating", "_mean_count")
+    return beside(products, sums).withColumn("popularity_score", score).drop("_mean_rating", "_mean_count")
 
 
 def popularity_against_rating(products: DataFrame, n: int = 10) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lakemill.functions import dates
 from lakemill.functions.numbers import mean_of, net_revenue
 from lakemill.operators.ordered import numbered, ranked
+from lakemill.operators.rows import beside
 from lakemill.operators.sampling import top
 from lakemill.session import settle
 from lakemill.sources import files
@@ -59,7 +60,7 @@ def above_mean(sales: DataFrame) -> DataFrame:
     """Lines above the mean line, compared without division: sales * rows > total."""
     whole = sales.agg(F.sum("sales").alias("_total"), F.count("sales").alias("_rows"))
     over = F.col("sales").cast("decimal(18,2)") * F.col("_rows").cast("decimal(18,0)") > F.col("_total")
-    return sales.crossJoin(F.broadcast(whole)).filter(over).select("row_id", "order_id", "customer_id", "sales")
+    return beside(sales, whole).filter(over).select("row_id", "order_id", "customer_id", "sales")
 
 
 def largest_lines(sales: DataFrame, customers: DataFrame) -> DataFrame:
@@ -79,7 +80,7 @@ def totals_above_mean(sales: DataFrame, customers: DataFrame) -> DataFrame:
     totals = customer_totals(sales, customers)
     whole = totals.agg(F.sum("total_sales").alias("_sum"), F.count(F.lit(1)).alias("_n"))
     over = F.col("total_sales").cast("decimal(24,2)") * F.col("_n").cast("decimal(12,0)") > F.col("_sum")
-    return totals.crossJoin(F.broadcast(whole)).filter(over).drop("_sum", "_n")
+    return beside(totals, whole).filter(over).drop("_sum", "_n")
 
 
 def customer_ranks(sales: DataFrame, customers: DataFrame) -> DataFrame:

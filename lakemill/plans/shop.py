@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lakemill.functions import dates
 from lakemill.functions.numbers import net_revenue, percent, percent_change
 from lakemill.operators.ordered import ranked, scan, tiled
+from lakemill.operators.rows import beside
 from lakemill.operators.sampling import top
 from lakemill.session import settle
 
@@ -60,7 +61,7 @@ def recent_months(orders: DataFrame, months: int = 12) -> DataFrame:
     """Orders per month over the months before the newest order."""
     newest = orders.agg(F.max("order_date").alias("newest"))
     start = F.add_months(F.to_date("newest"), -months).cast("timestamp_ntz")
-    per_order = orders.crossJoin(F.broadcast(newest)).filter(F.col("order_date") >= start)
+    per_order = beside(orders, newest).filter(F.col("order_date") >= start)
     return (
         per_order.groupBy(dates.year_month(F.col("order_date")).alias("year_month"))
         .agg(F.countDistinct("order_id").alias("order_count"))
@@ -238,7 +239,7 @@ def cumulative_share(orders: DataFrame, items: DataFrame) -> DataFrame:
     valued = settle(customer_revenue(orders, items))
     summed = scan(valued, [], ["revenue desc", "customer_id"], totals={"reached": "revenue"})
     total = valued.agg(F.sum("revenue").alias("total"))
-    return summed.crossJoin(F.broadcast(total)).select(
+    return beside(summed, total).select(
         "customer_id",
         F.round("revenue", 2).alias("revenue"),
         F.round("reached", 2).alias("cumulative_revenue"),
@@ -334,4 +335,4 @@ def span_report(orders: DataFrame, items: DataFrame, products: DataFrame, start:
         for c in ("total_orders", "total_revenue", "unique_customers")
     }
     dated = {"start": F.lit(start), "end": F.lit(end), "previous_start": F.lit(before[0]), "previous_end": F.lit(before[1])}
-    return now.crossJoin(F.broadcast(then)).crossJoin(F.broadcast(listed)).withColumns({**changes, **dated})
+    return beside(beside(now, then), listed).withColumns({**changes, **dated})

@@ -8,6 +8,7 @@ from lakemill.registry.roles import CATALOGUE_SQL
 from lakemill.registry.scalars import DEPARTMENT_SQL, POPULAR_SQL
 from lakemill.registry.sql import dbl, half_up, mean
 
+
 TOP10 = "top10 AS (SELECT category FROM catalogue GROUP BY 1 ORDER BY COUNT(*) DESC, category LIMIT 10)"
 
 

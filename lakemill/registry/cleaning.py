@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakemill.functions import dates, numbers
+from lakemill.functions.keys import md5_key
 from lakemill.functions.numbers import money, round_half_up
 from lakemill.operators import audit, clean
+from lakemill.operators import statistics
+from lakemill.operators.rows import beside
 from lakemill.operators.sampling import top
 from lakemill.plans import layers
 from lakemill.registry import entry, roles
@@ -21,8 +24,7 @@ from lakemill.registry.roles import (
 )
 from lakemill.registry.scalars import PRICES_SQL, prices
 from lakemill.registry.sql import big, day, dbl, half_up, moment, ratio, strip, title
-from lakemill.operators import statistics
-from lakemill.session import settle
+from lakemill.session import settle, spread
 
 
 @entry("D01", NULL_SUMMARY_SQL)
@@ -30,8 +32,6 @@ def missing_values(t):
     return statistics.null_summary(parsed_items(t))
 
 
-
-
 @entry(
     "D02",
     """WITH f AS (SELECT l_extendedprice, l_tax, 2.5::DOUBLE AS filled FROM lineitem),
@@ -246,7 +246,7 @@ ORDER_COUNTS_SQL = """SELECT COUNT(*) FILTER (customer_id_missing) AS orders_mis
 def clean_orders(t):
     raw = roles.raw_orders(t)
     counts = clean.clean_orders_counts(raw, AS_OF)
-    return clean.clean_orders(raw, AS_OF).crossJoin(F.broadcast(counts))
+    return beside(clean.clean_orders(raw, AS_OF), counts)
 
 
 CLEAN_PRODUCTS_SQL = f"""{RAW_PRODUCTS_SQL}, named AS (SELECT product_id, place, product_name AS given, {title(strip('product_name'))} AS product_name,
@@ -263,7 +263,7 @@ PRODUCT_COUNTS_SQL = """SELECT COUNT(*) FILTER (given <> product_name) AS produc
 )
 def clean_products(t):
     raw = roles.raw_products(t)
-    return clean.clean_products(raw, ["place"]).drop("place").crossJoin(F.broadcast(clean.clean_products_counts(raw)))
+    return beside(clean.clean_products(raw, ["place"]).drop("place"), clean.clean_products_counts(raw))
 
 
 VALID_EMAIL = "regexp_matches(COALESCE(trim(email), ''), '^[^@\\s]+@[^@\\s]+\\.[^@\\s]+$')"
@@ -299,7 +299,7 @@ CLEAN_ITEMS_SQL = f"""{RAW_ITEMS_SQL}, p AS (SELECT order_id, product_id, produc
 )
 def clean_items(t):
     raw, orders = roles.raw_items(t), roles.kept_orders(t)
-    return clean.clean_items(raw, orders).crossJoin(F.broadcast(clean.clean_items_counts(raw, orders)))
+    return beside(clean.clean_items(raw, orders), clean.clean_items_counts(raw, orders))
 
 
 @entry(
@@ -337,7 +337,7 @@ SILVER_COUNTS_SQL = """SELECT CAST(SUM(copies) AS BIGINT) AS row_count, CAST(SUM
 )
 def clean_encounters(t):
     distinct = settle(clean.distinct_encounters(roles.raw_encounters(t)), "distinct")
-    return clean.complete_encounters(distinct).crossJoin(F.broadcast(clean.encounter_counts(distinct)))
+    return beside(clean.complete_encounters(distinct), clean.encounter_counts(distinct))
 
 
 @entry(
@@ -363,8 +363,6 @@ def bronze_check(t):
 )
 def silver_check(t):
     """Rows that are standardised but not yet cleaned, keyed by name and hospital."""
-    from lakemill.functions.keys import md5_key
-
     rows = clean.standardise_encounters(roles.raw_encounters(t)).withColumns(
         {"encounter_key": md5_key([F.col("Name"), F.col("Hospital")]), "is_current": F.lit(True)}
     )
@@ -414,7 +412,7 @@ def expectations(t):
     counts = audit.expectation_counts(rows, rules)
     kept = audit.keep_expected(rows, rules).agg(F.count(F.lit(1)).alias("passed"))
     total = rows.agg(F.count(F.lit(1)).alias("n"))
-    last = kept.crossJoin(F.broadcast(total)).select(
+    last = beside(kept, total).select(
         F.lit("kept").alias("expectation"), "passed", (F.col("n") - F.col("passed")).alias("failed")
     )
     return counts.unionByName(last)
@@ -457,7 +455,7 @@ p AS (SELECT order_id, category, COALESCE(price, quantile_cont(price, 0.5) OVER
     f"""WITH {SALES_FILE_SQL} SELECT DISTINCT order_id, category, {half_up("price", 4)} AS price, quantity, {half_up("price * quantity", 4)} AS total_amount FROM p""",
 )
 def clean_sales(t):
-    rows = t.lineitem.select(
+    rows = spread(t.lineitem).select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_returnflag").alias("category"),
         F.when(F.col("l_tax") != 0.08, F.col("l_extendedprice")).alias("price"),

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from lakemill.functions import dates, keys, nested, numbers, text
 from lakemill.operators.clean import parse_price
+from lakemill.plans.catalogue import with_popularity
 from lakemill.registry import entry, roles
 from lakemill.registry.roles import CATALOGUE_SQL, RAW_CUSTOMERS_SQL, RAW_ITEMS_SQL, RAW_ORDERS_SQL, RAW_PRODUCTS_SQL
 from lakemill.registry.sql import REVENUE, SHOP, big, day, dbl, half_up, moment, month, percent, ratio, strip, title
+from lakemill.session import spread
 
 
 @entry("F01", f"WITH {RAW_PRODUCTS_SQL} SELECT product_id, place, {strip('product_name')} AS product_name, trim(subcategory) AS subcategory FROM raw_products")
@@ -25,7 +27,7 @@ def case(t):
 
 @entry("F03", f"SELECT doc_id, md5({title('text')}) AS titled, {title('source')} AS source FROM documents")
 def title_case(t):
-    return t.documents.select(
+    return spread(t.documents).select(
         "doc_id", F.md5(text.title_case(F.col("text"))).alias("titled"), text.title_case(F.col("source")).alias("source")
     )
 
@@ -219,8 +221,6 @@ popular AS (SELECT k.*, (CAST(ratings_count AS DOUBLE) * CAST(rating AS DOUBLE)
 
 @entry("F27", f"WITH {POPULAR_SQL} SELECT product_id, {half_up('popularity_score', 6)} AS score FROM popular")
 def weighted_score(t):
-    from lakemill.plans.catalogue import with_popularity
-
     scored = with_popularity(roles.catalogue(t))
     return scored.select("product_id", numbers.round_half_up(F.col("popularity_score"), 6).alias("score"))
 

@@ -8,6 +8,7 @@ from lakemill.plans import shop
 from lakemill.registry import entry, roles
 from lakemill.registry.sql import REVENUE, SHOP, big, day, dbl, half_up, moment, month, percent, ratio
 
+
 ORDER_REVENUE = f"""{SHOP},
 order_value AS (SELECT o.order_id, customer_id, order_date, status, SUM({REVENUE}) AS revenue
   FROM shop_orders o JOIN items i ON i.order_id = o.order_id GROUP BY ALL),

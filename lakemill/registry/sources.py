@@ -14,6 +14,7 @@ from lakemill.registry import entry, roles
 from lakemill.registry.sql import dbl, percent
 from lakemill.sources import bronze, catalog, files, reports
 
+
 CUSTOMER_SCHEMA = "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
 CUSTOMER_SQL = "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer"
 

@@ -7,10 +7,12 @@ from pyspark.sql import types as T
 
 from lakemill.functions.numbers import money
 from lakemill.operators import audit
+from lakemill.operators.rows import beside
 from lakemill.registry import entry, roles
 from lakemill.registry.sql import dbl, half_up, mean, moment
 from lakemill.streaming import changes
 
+
 FILES = 3
 
 
@@ -77,7 +79,7 @@ def stream_expectations(t):
         arriving_encounters(t), target, t.scratch("r03-log"), changes.required_rules(), changes.watched_rules()
     )
     counts = changes.expectation_totals(t.spark, target)
-    rows = kept.agg(F.count(F.lit(1)).alias("passed")).crossJoin(F.broadcast(t.events.agg(F.count(F.lit(1)).alias("n"))))
+    rows = beside(kept.agg(F.count(F.lit(1)).alias("passed")), t.events.agg(F.count(F.lit(1)).alias("n")))
     last = rows.select(F.lit("kept").alias("expectation"), "passed", (F.col("n") - F.col("passed")).alias("failed"))
     return counts.unionByName(last)
 

@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from lakemill.functions.keys import md5_key, with_keys
 from lakemill.functions.numbers import money
+from lakemill.operators.rows import beside
 from lakemill.operators.versions import Merge, dense_ids, dimension, merge_versions, place_orders
 from lakemill.registry import entry, roles
 from lakemill.registry.sql import big, day, dbl
 from lakemill.session import settle
 
+
 KEYS, TRACKED = ["c_custkey", "c_name"], ["c_acctbal", "c_nationkey", "c_mktsegment"]
 KEY_SQL = "md5(c_custkey || '|' || c_name)"
 HASH_SQL = "md5(CAST({b} AS VARCHAR) || '|' || c_nationkey || '|' || c_mktsegment)"
@@ -136,7 +138,7 @@ def placed_orders(t):
     )
     order_rows = all_orders.agg(F.count(F.lit(1)).alias("order_rows"))
     item_rows = all_items.agg(F.count(F.lit(1)).alias("item_rows"))
-    return stock.crossJoin(F.broadcast(order_rows)).crossJoin(F.broadcast(item_rows))
+    return beside(beside(stock, order_rows), item_rows)
 
 
 @entry("V08", "SELECT o_orderkey, 1000 + ROW_NUMBER() OVER (ORDER BY o_orderdate, o_orderkey) AS id FROM orders")

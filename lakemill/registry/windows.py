@@ -8,11 +8,13 @@ from lakemill.functions import dates
 from lakemill.functions.numbers import money, percent, round_half_up
 from lakemill.operators.dedupe import one_per_key
 from lakemill.operators.ordered import end_values, numbered, ranked, scan, tiled
+from lakemill.operators.rows import beside
 from lakemill.operators.statistics import group_medians_on_rows
 from lakemill.registry import entry, roles
 from lakemill.registry.sql import big, dbl, half_up, moment, percent as percent_sql
 from lakemill.session import settle
 
+
 TOTALS = """t AS (SELECT o_custkey, SUM(CAST(o_totalprice AS DECIMAL(12,2))) AS total FROM orders GROUP BY 1)"""
 
 
@@ -133,7 +135,7 @@ def cumulative_sum(t):
 def grand_total(t):
     rows = totals(t)
     whole = rows.agg(F.sum("total").alias("grand_total"))
-    return rows.crossJoin(F.broadcast(whole)).withColumn("share_percent", percent(F.col("total"), F.col("grand_total"), 4))
+    return beside(rows, whole).withColumn("share_percent", percent(F.col("total"), F.col("grand_total"), 4))
 
 
 @entry(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,18 +81,18 @@ def child_paths(spark: SparkSession, folder: str, suffix: str = "") -> list[str]
     return [p.toString() for p in sorted(found, key=lambda p: p.getName()) if p.getName().endswith(suffix)]
 
 
-def fingerprint(df: DataFrame) -> DataFrame:
-    """Row count and an order-free sum of row hashes."""
+def fingerprint(df: DataFrame) -> list[Column]:
+    """Row count and an order-free sum of row hashes, as aggregates."""
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(20,0)")
-    return df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(row_hash).alias("hash_sum"))
+    return [F.count(F.lit(1)).alias("row_count"), F.sum(row_hash).alias("hash_sum")]
 
 
 def copy_checked(df: DataFrame, path: str) -> DataFrame:
-    """Copies a dataset and compares what was read with what was written."""
-    written = stored(df, path)
-    before, after = fingerprint(df), fingerprint(written)
-    both = before.select(F.col("row_count").alias("rows_read"), F.col("hash_sum").alias("a")).crossJoin(
-        F.broadcast(after.select(F.col("row_count").alias("rows_written"), F.col("hash_sum").alias("b")))
+    """Copies a dataset and compares what was read, measured on the way, with what was written."""
+    seen = Observation("copied")
+    written = stored(df.observe(seen, *fingerprint(df)), path)
+    read, total = seen.get["row_count"], seen.get["hash_sum"]
+    same = (F.col("row_count") == read) & F.col("hash_sum").eqNullSafe(F.lit(total))
+    return written.agg(*fingerprint(df)).select(
+        F.lit(read).alias("rows_read"), F.col("row_count").alias("rows_written"), same.alias("verified")
     )
-    same = (F.col("rows_read") == F.col("rows_written")) & F.col("a").eqNullSafe(F.col("b"))
-    return both.select("rows_read", "rows_written", same.alias("verified"))

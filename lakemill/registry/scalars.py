@@ -276,23 +276,23 @@ def buckets(t):
     return t.part.select("p_partkey", numbers.bucket(F.col("p_size"), (10, 20, 30, 40), ("11-20", "21-30", "31-40")).alias("band"))
 
 
-LISTS_SQL = """lists AS (SELECT conv_id, CASE WHEN MAX(turn) = 1 THEN '{bad' WHEN MAX(turn) = 2 THEN '{"turn":1}'
-  ELSE CAST(to_json(list({turn: turn, role: role} ORDER BY turn)) AS VARCHAR) END AS turns FROM conversations GROUP BY conv_id)"""
+LISTS_SQL = """lists AS (SELECT conv_id, turn, CASE role WHEN 'system' THEN '{bad' WHEN 'user' THEN '{"turn":1}'
+  ELSE CAST(to_json(list_transform(string_split(text, ' '), lambda w: {name: w})) AS VARCHAR) END AS words FROM conversations)"""
 
 
 def lists(t):
-    """The turns of a conversation as a JSON list; short ones as an object or broken text."""
-    made = F.to_json(F.sort_array(F.collect_list(F.struct("turn", "role"))))
-    turns = F.when(F.max("turn") == 1, "{bad").when(F.max("turn") == 2, '{"turn":1}').otherwise(made)
-    return t.conversations.groupBy("conv_id").agg(turns.alias("turns"))
+    """The words of a turn as a JSON list; for two roles an object or broken text instead."""
+    words = F.to_json(F.transform(F.split("text", " "), lambda w: F.struct(w.alias("name"))))
+    made = F.when(F.col("role") == "system", "{bad").when(F.col("role") == "user", '{"turn":1}').otherwise(words)
+    return t.conversations.select("conv_id", "turn", made.alias("words"))
 
 
 @entry(
     "F34",
-    f"""WITH {LISTS_SQL} SELECT conv_id, CASE WHEN turns LIKE '[%' THEN CAST(json_array_length(turns) AS BIGINT) ELSE 0 END AS turn_count FROM lists""",
+    f"""WITH {LISTS_SQL} SELECT conv_id, turn, CASE WHEN words LIKE '[%' THEN CAST(json_array_length(words) AS BIGINT) ELSE 0 END AS word_count FROM lists""",
 )
 def list_length(t):
-    return lists(t).select("conv_id", nested.list_length(F.col("turns")).alias("turn_count"))
+    return lists(t).select("conv_id", "turn", nested.list_length(F.col("words")).alias("word_count"))
 
 
 DEPARTMENT_SQL = """CASE WHEN p_size = 41 THEN 'Unknown' WHEN p_size <= 10 THEN 'Women' WHEN p_size <= 20 THEN 'Men'

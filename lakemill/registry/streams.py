@@ -91,8 +91,8 @@ history AS (SELECT *, LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
 
 def versioned(t):
     stream = arriving_events(t).select("user_id", "event_type", "ts", "event_id")
-    store = changes.VersionStore(t.spark, t.scratch("versions"))
-    return changes.apply_changes(stream, store, t.scratch("versions-log"), "user_id", ["event_type"], ["ts", "event_id"])
+    store = changes.VersionStore(t.spark, t.scratch("versions"), "user_id")
+    return changes.apply_changes(stream, store, t.scratch("versions-log"), ["event_type"], ["ts", "event_id"])
 
 
 @entry(

@@ -138,52 +138,67 @@ def rebuild_history(
 
 
 class VersionStore:
-    """Snapshots of a versioned table, one folder per applied batch.
+    """A versioned table as one folder per applied batch, merged when read.
 
-    A batch reads the newest snapshot before it and writes its own, so running it again gives
-    the same folder. Rows that made no version stay in the store, for late changes.
+    A batch adds the whole history of the keys it touched, so what it writes grows with the
+    batch and not with the table; of several histories of a key the newest holds. After every
+    `compact_every` batches the whole table is written once, and older folders are not read
+    any more. A batch reads only what came before it, so running it again gives the same folder.
+    Rows that made no version stay in the store, for late changes.
     """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, key: str, compact_every: int = 20):
+        self.spark, self.folder, self.key, self.compact_every = spark, folder, key, compact_every
 
-    def _batches(self) -> list[tuple[int, str]]:
-        found = files.child_paths(self.spark, self.folder)
+    def _folders(self, kind: str, before: int | None) -> list[tuple[int, str]]:
+        found = files.child_paths(self.spark, f"{self.folder}/{kind}")
         done = [p for p in found if files.path_exists(self.spark, f"{p}/_SUCCESS")]
-        return sorted((int(p.rsplit("=", 1)[1]), p) for p in done)
-
-    def before(self, batch_id: int) -> DataFrame | None:
-        older = [path for number, path in self._batches() if number < batch_id]
-        return self.spark.read.parquet(older[-1]) if older else None
+        numbers = sorted((int(p.rsplit("=", 1)[1]), p) for p in done)
+        return [(n, p) for n, p in numbers if before is None or n < before]
+
+    def rows(self, before: int | None = None, touched: DataFrame | None = None) -> DataFrame | None:
+        """The newest history of every key, or of the touched keys, before a batch."""
+        base = self._folders("whole", before)[-1:]
+        after = base[0][0] if base else -1
+        folders = base + [(n, p) for n, p in self._folders("batches", before) if n > after]
+        found = None
+        for number, path in folders:
+            part = self.spark.read.parquet(path).withColumn("_batch", F.lit(number))
+            found = part if found is None else found.unionByName(part)
+        if found is None:
+            return None
+        if touched is not None:
+            found = found.join(touched, self.key, "left_semi")
+        if len(folders) > 1:
+            newest = found.groupBy(self.key).agg(F.max("_batch").alias("_batch"))
+            found = found.join(newest, [self.key, "_batch"], "left_semi")
+        return found.drop("_batch")
 
     def write(self, batch_id: int, rows: DataFrame) -> None:
-        files.write_parquet(rows, f"{self.folder}/batch={batch_id}")
+        files.write_parquet(rows, f"{self.folder}/batches/batch={batch_id}")
+        if (batch_id + 1) % self.compact_every == 0:
+            files.write_parquet(self.rows(before=batch_id + 1), f"{self.folder}/whole/batch={batch_id}")
 
     def latest(self) -> DataFrame:
-        return self.spark.read.parquet(self._batches()[-1][1]).filter("is_version").drop("is_version")
+        return self.rows().filter("is_version").drop("is_version")
 
 
 def apply_changes(
-    stream: DataFrame, store: VersionStore, checkpoint: str, key: str, tracked: Sequence[str], sequence: Sequence[str], **options
+    stream: DataFrame, store: VersionStore, checkpoint: str, tracked: Sequence[str], sequence: Sequence[str], **options
 ) -> DataFrame:
     """Keeps a versioned table from a change stream, late changes included.
 
-    Only the keys of a batch are rebuilt; the rows of all other keys pass through.
+    Only the keys of a batch are read and rebuilt.
     """
+    key = store.key
     columns = list(dict.fromkeys([key, *tracked, *sequence]))
 
     def each(batch: DataFrame, batch_id: int) -> None:
         arrived = settle(batch.select(*named(columns)).dropDuplicates(), "batch")
-        stored = store.before(batch_id)
-        if stored is None:
-            store.write(batch_id, rebuild_history(arrived, key, tracked, sequence, **options))
-            return
-        touched = arrived.select(key).distinct()
-        known = stored.join(touched, key, "left_semi").select(*named(columns))
-        rebuilt = rebuild_history(
-            settle(known.unionByName(arrived).dropDuplicates(), "touched"), key, tracked, sequence, **options
-        )
-        store.write(batch_id, stored.join(touched, key, "left_anti").unionByName(rebuilt))
+        known = store.rows(before=batch_id, touched=arrived.select(key).distinct())
+        if known is not None:
+            arrived = settle(known.select(*named(columns)).unionByName(arrived).dropDuplicates(), "touched")
+        store.write(batch_id, rebuild_history(arrived, key, tracked, sequence, **options))
 
     run_batches(stream, each, checkpoint)
     return store.latest()

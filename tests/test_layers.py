@@ -165,31 +165,31 @@ def at(minute):
     return dt.datetime(2024, 1, 1, 0, minute)
 
 
-def streamed(spark, tmp_path, batches, **options):
+def streamed(spark, tmp_path, batches, compact_every=20, **options):
     folder = tmp_path / "changes"
     for rows in batches:  # one file for each batch, taken in order of time
         spark.createDataFrame(rows, CHANGES).coalesce(1).write.mode("append").parquet(str(folder))
     stream = changes.read_stream(spark, str(folder), spark.createDataFrame([], CHANGES).schema, files_per_batch=1)
-    store = changes.VersionStore(spark, str(tmp_path / "store"))
-    table = changes.apply_changes(stream, store, str(tmp_path / "log"), "user_id", ["state"], ["at", "event_id"], **options)
+    store = changes.VersionStore(spark, str(tmp_path / "store"), "user_id", compact_every)
+    table = changes.apply_changes(stream, store, str(tmp_path / "log"), ["state"], ["at", "event_id"], **options)
     return store, sorted((r.user_id, r.state, r.at.minute, r.end_at and r.end_at.minute, r.is_current) for r in table.collect())
 
 
-@pytest.mark.parametrize("hot_rows", [None, 1])
-def test_late_change_splits_a_version(spark, tmp_path, hot_rows):
+@pytest.mark.parametrize("hot_rows, compact_every", [(None, 20), (1, 2)])
+def test_late_change_splits_a_version(spark, tmp_path, hot_rows, compact_every):
     batches = [
         [(1, "A", at(1), 1), (1, "A", at(5), 2), (2, "X", at(2), 3)],
         [(1, "B", at(3), 4)],
         [(2, "X", at(9), 5), (1, "B", at(4), 6)],
     ]
     options = {} if hot_rows is None else {"hot_rows": hot_rows}
-    _, found = streamed(spark, tmp_path, batches, **options)
+    _, found = streamed(spark, tmp_path, batches, compact_every, **options)
     assert found == [(1, "A", 1, 3, False), (1, "A", 5, None, True), (1, "B", 3, 5, False), (2, "X", 2, None, True)]
 
 
 def test_batch_run_again_gives_the_same_snapshot(spark, tmp_path):
     store, found = streamed(spark, tmp_path, [[(1, "A", at(1), 1)], [(1, "B", at(3), 2)]])
-    before = store.before(1)
+    before = store.rows(before=1)
     assert before.count() == 1
     touched = before.select("user_id", "state", "at", "event_id").unionByName(spark.createDataFrame([(1, "B", at(3), 2)], CHANGES))
     store.write(1, changes.rebuild_history(touched, "user_id", ["state"], ["at", "event_id"]))

@@ -20,6 +20,7 @@ from lakemill.session import settle
 
 HOT_ROWS = 1_000_000
 MAX_HOT_GROUPS = 10_000
+SAMPLED_ROWS = 20_000
 ROWS = "_rows"
 PLACE_BITS = 33  # of `monotonically_increasing_id`: the place in a partition, below its number
 SLICE, LOCAL, SEGMENT_ROWS = "_slice", "_local", "_segment_rows"
@@ -54,7 +55,10 @@ def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 @dataclass(frozen=True)
 class Split:
-    """A frame parted by group size; `hot` is None when every group fits in one task."""
+    """A frame parted by group size; `hot` is None when every group fits in one task.
+
+    `hot_rows` is about the number of rows in the hot groups.
+    """
 
     cold: DataFrame | None
     hot: DataFrame | None
@@ -62,26 +66,34 @@ class Split:
 
 
 def split_groups(df: DataFrame, group: Sequence[str], hot_rows: int) -> Split:
+    """Parts the groups of more than `hot_rows` rows from the others.
+
+    Large groups are found in a sample that holds about `SAMPLED_ROWS` rows of each: a group
+    near the bound may fall on either side, which changes the way it is computed and not the
+    result.
+    """
     if not group:
         rows = df.count()
         return Split(df, None) if rows <= hot_rows else Split(None, df, rows)
-    sizes = df.groupBy(*[F.col(f"`{g}`") for g in group]).agg(F.count(F.lit(1)).alias(ROWS))
-    total = sizes.agg(F.sum(ROWS).alias("_total"))
+    part = min(1.0, SAMPLED_ROWS / hot_rows)
+    keys = df.select(*[F.col(f"`{g}`") for g in group])
+    seen = keys if part == 1.0 else keys.sample(fraction=part, seed=1)
+    sizes = seen.groupBy(*[F.col(f"`{g}`") for g in group]).agg(F.count(F.lit(1)).alias(ROWS))
     # A hot group holds at least one part in MAX_HOT_GROUPS of all rows: the list is bounded.
     hot = (
-        beside(sizes, total)
-        .filter((F.col(ROWS) > hot_rows) & (F.col(ROWS) * MAX_HOT_GROUPS >= F.col("_total")))
+        beside(sizes, sizes.agg(F.sum(ROWS).alias("_total")))
+        .filter((F.col(ROWS) > hot_rows * part) & (F.col(ROWS) * MAX_HOT_GROUPS >= F.col("_total")))
         .drop("_total")
     )
     found = hot.collect()
     if not found:
         return Split(df, None)
-    keys = df.sparkSession.createDataFrame(found, hot.schema)
-    condition = same_keys(df, keys, group)
+    few = df.sparkSession.createDataFrame(found, hot.schema)
+    condition = same_keys(df, few, group)
     return Split(
-        df.join(F.broadcast(keys), condition, "left_anti"),
-        df.join(F.broadcast(keys), condition, "left_semi"),
-        sum(row[ROWS] for row in found),
+        df.join(F.broadcast(few), condition, "left_anti"),
+        df.join(F.broadcast(few), condition, "left_semi"),
+        int(sum(row[ROWS] for row in found) / part),
     )
 
 
@@ -148,12 +160,10 @@ def _sliced_groups(df, group, order, slices, number, totals, previous, following
     rows = cut_slices(df, group, order, slices)
     window = _window(segment, order)
     whole = Window.partitionBy(*[F.col(f"`{k}`") for k in segment])
-    local = rows.withColumns(
-        {
-            LOCAL: F.row_number().over(window).cast("bigint"),
-            SEGMENT_ROWS: F.count(F.lit(1)).over(whole),
-        }
-    )
+    places = {LOCAL: F.row_number().over(window).cast("bigint")}
+    if previous or following:
+        places[SEGMENT_ROWS] = F.count(F.lit(1)).over(whole)
+    local = rows.withColumns(places)
 
     # One row for each slice and group: the sums and the end values that pass to other slices.
     ends = [F.count(F.lit(1)).alias("_n")]
@@ -164,7 +174,8 @@ def _sliced_groups(df, group, order, slices, number, totals, previous, following
     for name, source in following.items():
         first = F.when(F.col(LOCAL) == 1, F.col(f"`{source}`"))
         ends.append(F.max(first).alias(f"_first_{name}"))
-    segments = local.groupBy(*[F.col(f"`{k}`") for k in segment]).agg(*ends)
+    summed = local if previous or following else rows
+    segments = summed.groupBy(*[F.col(f"`{k}`") for k in segment]).agg(*ends)
 
     across = _window(group, [SLICE])
     before = across.rowsBetween(Window.unboundedPreceding, -1)

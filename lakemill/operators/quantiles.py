@@ -1,7 +1,8 @@
 """Exact quantiles, medians and the operators made from them.
 
-Equal values are counted first, so that a group travels as its distinct values. Where these
-still exceed what one task should hold, the sorted values are scanned in slices.
+A large group is reduced to its distinct values and their counts. Where these still exceed what
+one task should hold, they are sorted into slices, and only the slices with the wanted ranks are
+read.
 """
 
 from __future__ import annotations
@@ -31,24 +32,24 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with an array of interpolated quantiles of the non-null values."""
     limit = ordered.HOT_ROWS if hot_rows is None else hot_rows
-    levels = (
-        df.filter(F.col(f"`{value}`").isNotNull())
-        .groupBy(*[F.col(f"`{g}`") for g in group], F.col(f"`{value}`").cast("double").alias("_value"))
-        .agg(F.count(F.lit(1)).alias(COUNT))
-    )
-    levels = settle(levels, "levels")
-    split = ordered.split_groups(levels, group, limit)
+    points = F.array(*[F.lit(float(p)) for p in probabilities])
+    values = df.select(*named(group), F.col(f"`{value}`").cast("double").alias("_value")).filter("_value is not null")
+    split = ordered.split_groups(values, group, limit)
     parts = []
     if split.cold is not None:
-        points = F.array(*[F.lit(float(p)) for p in probabilities])
-        parts.append(
-            split.cold.groupBy(*[F.col(f"`{g}`") for g in group]).agg(
-                F.percentile("_value", points, F.col(COUNT)).alias(name)
-            )
-        )
+        parts.append(split.cold.groupBy(*named(group)).agg(F.percentile("_value", points).alias(name)))
     if split.hot is not None:
-        parts.append(_sliced_quantiles(split.hot, group, probabilities, name, limit, split.hot_rows))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        levels = settle(split.hot.groupBy(*named(group), "_value").agg(F.count(F.lit(1)).alias(COUNT)), "levels")
+        kinds = ordered.split_groups(levels, group, limit)
+        if kinds.cold is not None:
+            weighted = F.percentile("_value", points, F.col(COUNT))
+            parts.append(kinds.cold.groupBy(*named(group)).agg(weighted.alias(name)))
+        if kinds.hot is not None:
+            parts.append(_sliced_quantiles(kinds.hot, group, probabilities, name, limit, kinds.hot_rows))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def _sliced_quantiles(levels, group, probabilities, name, limit, rows):

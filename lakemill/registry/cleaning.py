@@ -426,7 +426,7 @@ IDENTITY = """o_orderkey AS row_no, CAST(o_custkey AS STRING) AS user_id, o_orde
 
 
 def identities(t):
-    return t.orders.selectExpr(*roles._parts(IDENTITY))
+    return t.orders.selectExpr(*roles.parts(IDENTITY))
 
 
 IDENTITY_SQL = f"""ids AS (SELECT {IDENTITY} FROM orders),

@@ -112,8 +112,8 @@ SECOND_PRODUCT = RAW_PRODUCT.format(place="p_partkey * 2 + 1", name="p_name || '
 
 
 def raw_products(t: Tables) -> DataFrame:
-    first = t.part.selectExpr(*_parts(FIRST_PRODUCT))
-    return first.unionByName(t.part.filter("p_brand = 'Brand#5'").selectExpr(*_parts(SECOND_PRODUCT)))
+    first = t.part.selectExpr(*parts(FIRST_PRODUCT))
+    return first.unionByName(t.part.filter("p_brand = 'Brand#5'").selectExpr(*parts(SECOND_PRODUCT)))
 
 
 RAW_PRODUCTS_SQL = f"""
@@ -121,7 +121,7 @@ raw_products AS (SELECT {FIRST_PRODUCT} FROM part
   UNION ALL SELECT {SECOND_PRODUCT} FROM part WHERE p_brand = 'Brand#5')"""
 
 
-def _parts(select: str) -> list[str]:
+def parts(select: str) -> list[str]:
     """Splits a select list at its outer commas."""
     out, depth, start = [], 0, 0
     for i, mark in enumerate(select):
@@ -145,7 +145,7 @@ RAW_ITEM = (
 
 
 def raw_items(t: Tables) -> DataFrame:
-    return spread(t.lineitem).selectExpr(*_parts(RAW_ITEM))
+    return spread(t.lineitem).selectExpr(*parts(RAW_ITEM))
 
 
 def kept_orders(t: Tables) -> DataFrame:
@@ -169,7 +169,7 @@ RAW_CUSTOMER = f"c_custkey AS customer_id, '  ' || lower(replace(c_name, '#', '-
 
 
 def raw_customers(t: Tables) -> DataFrame:
-    return t.customer.selectExpr(*_parts(RAW_CUSTOMER))
+    return t.customer.selectExpr(*parts(RAW_CUSTOMER))
 
 
 RAW_CUSTOMERS_SQL = f"raw_customers AS (SELECT {RAW_CUSTOMER} FROM customer)"

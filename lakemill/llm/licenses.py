@@ -4,11 +4,12 @@ Units of a text - its lines, and its blocks of several lines between blank ones
 to lower-case words and compared with templates by the Dice coefficient of their sets of word
 bigrams. A unit of s bigrams and a template of m reach the coefficient t only if
 t/(2-t) <= s/m <= (2-t)/t, so templates are met by an equal join on the admissible sizes.
+The same bound names words of which a matching unit holds one.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,14 +57,29 @@ def bigrams(words: Column) -> Column:
     return F.when(last >= 0, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
 
 
-def template_index(spark: SparkSession, templates: dict[str, str], threshold: float) -> DataFrame:
-    """(size, license, pattern) for every size of a unit that may reach the threshold."""
+def telling_words(patterns: list[list[str]], threshold: float) -> list[str]:
+    """Words of which every unit that reaches the threshold for some pattern holds one.
+
+    Such a unit shares at least t/(2-t) of the pattern's bigrams; words that touch more bigrams
+    than may be missing cannot all be absent. Long words are taken first, as they are rare.
+    """
+    out: set[str] = set()
+    for pattern in patterns:
+        missing = len(pattern) * (1 - threshold / (2 - threshold))
+        touched: set[str] = set()
+        for word in sorted({w for p in pattern for w in p.split(" ")}, key=lambda w: (-len(w), w)):
+            if len(touched) > missing + 1e-9:
+                break
+            out.add(word)
+            touched |= {p for p in pattern if word in p.split(" ")}
+    return sorted(out)
+
+
+def template_patterns(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
+    """(license, pattern): the distinct bigrams of each template that has any."""
     rows = spark.createDataFrame(sorted(templates.items()), "license string, text string")
     known = rows.select("license", normalised(F.col("text")).alias("words")).select("license", bigrams(F.col("words")).alias("pattern"))
-    known = known.where(F.size("pattern") > 0)
-    ratio = threshold / (2 - threshold)
-    sizes = F.sequence(F.ceil(F.size("pattern") * ratio - 1e-9).cast("int"), F.floor(F.size("pattern") / ratio + 1e-9).cast("int"))
-    return known.select(F.explode(sizes).alias("size"), "license", "pattern")
+    return known.where(F.size("pattern") > 0)
 
 
 def find_notices(
@@ -72,19 +88,25 @@ def find_notices(
     """(id, kind, unit, license, similarity) of every unit and template at the threshold or above.
 
     `kind` is line or block, `unit` its number in the text from 0. A block of one line is only
-    given as a line. A null or empty text has no unit. Rows are independent: repeated rows and
+    given as a line. Texts without any of the words that a match must hold are left out first. A null or empty text has no unit. Rows are independent: repeated rows and
     null ids are kept. Other columns are ignored. The templates are a parameter and travel with
     the job; their number is that of known licences, not of documents.
     """
     if not 0 < threshold <= 1:
         raise ValueError("the threshold must be above 0 and at most 1")
-    index = template_index(docs.sparkSession, TEMPLATES if templates is None else templates, threshold)
+    known = template_patterns(docs.sparkSession, TEMPLATES if templates is None else templates)
+    ratio = threshold / (2 - threshold)
+    sizes = F.sequence(F.ceil(F.size("pattern") * ratio - 1e-9).cast("int"), F.floor(F.size("pattern") / ratio + 1e-9).cast("int"))
+    index = known.select(F.explode(sizes).alias("size"), "license", "pattern")
+    words = telling_words([r.pattern for r in known.collect()], threshold)  # a row a template
+    # In a lambda, so that the lower-case text is made once for all words.
+    told = F.exists(F.array(F.lower(text_of(text))), lambda t: reduce(Column.__or__, [t.contains(w) for w in words], F.lit(False)))
     body = F.regexp_replace(text_of(text), "\r\n?", "\n")
     units = F.concat(
         F.transform(F.split(body, "\n"), lambda u, i: F.struct(F.lit("line").alias("kind"), i.alias("unit"), u.alias("text"))),
         F.transform(F.split(body, r"\n[ \t]*\n\s*"), lambda u, i: F.struct(F.lit("block").alias("kind"), i.alias("unit"), u.alias("text"))),
     )
-    parts = docs.select(F.col(f"`{id_col}`").alias("__id"), F.explode(units).alias("u")).where(
+    parts = docs.where(told).select(F.col(f"`{id_col}`").alias("__id"), F.explode(units).alias("u")).where(
         (F.col("u.kind") == "line") | F.trim(F.col("u.text")).contains("\n")
     )
     # The words are a column of their own: within a lambda an expression would run for each element.

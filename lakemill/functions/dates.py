@@ -11,21 +11,35 @@ from pyspark.sql import functions as F
 
 # The date layouts accepted by the cleaners, tried in this order.
 DATE_LAYOUTS = ("yyyy-MM-dd", "yyyy/MM/dd", "dd-MM-yyyy")
-ORDER_TIME_LAYOUTS = ("yyyy-MM-dd HH:mm:ss", "dd-MM-yyyy", "yyyy-MM-dd", "yyyy/MM/dd")
+ORDER_TIME_LAYOUTS = (
+    "yyyy-MM-dd HH:mm:ss",
+    "dd-MM-yyyy",
+    "yyyy-MM-dd",
+    "yyyy/MM/dd",
+    "yyyy-MM-dd'T'HH:mm:ss",
+    "yyyy/MM/dd HH:mm:ss",
+    "dd-MM-yyyy HH:mm:ss",
+)
 SECONDS_PER_DAY = 86400
 
 
 def has_layout(c: Column, layout: str) -> Column:
-    """Whether text has the shape of a layout; a cheap test that spares failed parses."""
-    return c.like(re.sub("[a-zA-Z]", "_", layout))
+    """Whether text has the shape of a layout, its numbers padded or not; spares failed parses."""
+    shape = re.sub("([a-zA-Z])\\1*", lambda m: r"\d{4}" if m[0] == "yyyy" else r"\d{1,2}", layout.replace("'T'", "\0"))
+    return c.rlike("^" + shape.replace("\0", "T") + "$")
+
+
+def lenient(layout: str) -> str:
+    """The layout for a parser that takes numbers with or without a leading zero."""
+    return re.sub("MM|dd|HH|mm|ss", lambda m: m[0][0], layout)
 
 
 def parse_date(c: Column, layouts: Sequence[str] = ("yyyy-MM-dd",)) -> Column:
-    return F.coalesce(*[F.when(has_layout(c, x), F.try_to_date(c, x)) for x in layouts])
+    return F.coalesce(*[F.when(has_layout(c, x), F.try_to_date(c, lenient(x))) for x in layouts])
 
 
 def parse_timestamp(c: Column, layouts: Sequence[str] = ("yyyy-MM-dd HH:mm:ss",)) -> Column:
-    return F.coalesce(*[F.when(has_layout(c, x), F.try_to_timestamp(c, F.lit(x))) for x in layouts])
+    return F.coalesce(*[F.when(has_layout(c, x), F.try_to_timestamp(c, F.lit(lenient(x)))) for x in layouts])
 
 
 def iso_date(c: Column) -> Column:

@@ -18,8 +18,8 @@ def round_half_up(c: Column, places: int = 2) -> Column:
 
 
 def to_number(c: Column, scale: int = 2) -> Column:
-    """Text to decimal; text that is no number gives null."""
-    return c.try_cast(f"decimal(18,{scale})")
+    """Text to decimal; text that is no number, or does not fit 38 digits, gives null."""
+    return c.try_cast(f"decimal(38,{scale})")
 
 
 def to_whole(c: Column) -> Column:
@@ -56,8 +56,8 @@ def percent_change(current: Column, previous: Column) -> Column:
 
 def net_revenue(quantity: Column, unit_price: Column, discount_percent: Column) -> Column:
     share = (F.lit(100) - discount_percent.cast("decimal(5,2)")) * F.lit("0.01").cast("decimal(3,2)")
-    gross = quantity.cast("decimal(9,0)") * unit_price.cast("decimal(12,2)")
-    return (gross * share).cast("decimal(20,6)")
+    gross = quantity.try_cast("decimal(19,0)") * unit_price.cast("decimal(12,2)")
+    return (gross * share).try_cast("decimal(28,6)")
 
 
 def weighted_score(

@@ -300,12 +300,14 @@ def clean_identities(raw: DataFrame, fills: Mapping[str, object], median_column:
     """One row per user and day, nulls filled, rows without an e-mail or user name removed."""
     distinct = one_per_key(raw, ["user_id", "transaction_date"], order)
     median = approximate_median(distinct, median_column)
-    filled = distinct.fillna({**fills, median_column: median})
+    filled = distinct.fillna(fills if median is None else {**fills, median_column: median})
     return filled.filter(F.col("email").isNotNull() & text.not_blank(F.col("username")))
 
 
-def approximate_median(df: DataFrame, column: str, error: float = 0.01) -> int:
-    return int(df.approxQuantile(column, [0.5], error)[0])
+def approximate_median(df: DataFrame, column: str, error: float = 0.01) -> int | None:
+    """None for a column without values."""
+    found = df.approxQuantile(column, [0.5], error)
+    return int(found[0]) if found else None
 
 
 def clean_sales(raw: DataFrame) -> DataFrame:

@@ -19,7 +19,6 @@ from lakemill.session import settle
 
 
 HOT_ROWS = 1_000_000
-MAX_HOT_GROUPS = 10_000
 SAMPLED_ROWS = 20_000
 ROWS = "_rows"
 PLACE_BITS = 33  # of `monotonically_increasing_id`: the place in a partition, below its number
@@ -79,22 +78,13 @@ def split_groups(df: DataFrame, group: Sequence[str], hot_rows: int) -> Split:
     keys = df.select(*[F.col(f"`{g}`") for g in group])
     seen = keys if part == 1.0 else keys.sample(fraction=part, seed=1)
     sizes = seen.groupBy(*[F.col(f"`{g}`") for g in group]).agg(F.count(F.lit(1)).alias(ROWS))
-    # A hot group holds at least one part in MAX_HOT_GROUPS of all rows: the list is bounded.
-    hot = (
-        beside(sizes, sizes.agg(F.sum(ROWS).alias("_total")))
-        .filter((F.col(ROWS) > hot_rows * part) & (F.col(ROWS) * MAX_HOT_GROUPS >= F.col("_total")))
-        .drop("_total")
-    )
-    found = hot.collect()
-    if not found:
+    # As many rows as there are hot groups: stored, and joined as their measured size allows.
+    hot = settle(sizes.filter(F.col(ROWS) > hot_rows * part), "hot-groups")
+    rows = hot.agg(F.sum(ROWS)).first()[0]
+    if not rows:
         return Split(df, None)
-    few = df.sparkSession.createDataFrame(found, hot.schema)
-    condition = same_keys(df, few, group)
-    return Split(
-        df.join(F.broadcast(few), condition, "left_anti"),
-        df.join(F.broadcast(few), condition, "left_semi"),
-        int(sum(row[ROWS] for row in found) / part),
-    )
+    condition = same_keys(df, hot, group)
+    return Split(df.join(hot, condition, "left_anti"), df.join(hot, condition, "left_semi"), int(rows / part))
 
 
 def cut_slices(df: DataFrame, group: Sequence[str], order: Sequence[str], slices: int) -> DataFrame:
@@ -184,12 +174,12 @@ def _sliced_groups(df, group, order, slices, number, totals, previous, following
     carried += [F.lag(f"_last_{name}").over(across).alias(f"_carry_{name}") for name in previous]
     carried += [F.lead(f"_first_{name}").over(across).alias(f"_carry_{name}") for name in following]
     carry = segments.select(*[F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(segment)], *carried)
+    carry = settle(carry, "carry")  # a row for each slice and group, joined as its size allows
 
     match = F.lit(True)
     for i, key in enumerate(segment):
         match = match & local[f"`{key}`"].eqNullSafe(carry[f"_key_{i}"])
-    # Slices number total/HOT_ROWS and hot groups at most MAX_HOT_GROUPS: the carry is small.
-    joined = local.join(F.broadcast(carry), match, "left")
+    joined = local.join(carry, match, "left")
 
     added = {}
     if number:
@@ -311,17 +301,15 @@ def attach(
     """Joins one `lookup` row per key to the rows of `df`, null keys included.
 
     `weight` is the lookup column that counts the rows of `df` with the key. Keys of more than
-    `hot_rows` rows are joined by broadcast, so that their rows stay where they are.
+    `hot_rows` rows are stored and joined apart: as few rows as these keys are, their side is
+    sent to all tasks by its measured size, and the rows of `df` stay where they are.
     """
     limit = HOT_ROWS if hot_rows is None else hot_rows
-    total = lookup.agg(F.sum(weight).alias("_total"))
-    heavy = (F.col(weight) > limit) & (F.col(weight) * MAX_HOT_GROUPS >= F.col("_total"))
-    hot = beside(lookup, total).filter(heavy).drop("_total").collect()
-    if not hot:
+    hot = settle(lookup.filter(F.col(weight) > limit), "hot-keys")
+    if hot.isEmpty():
         return _lookup_join(df, lookup.drop(weight), keys)
-    few = df.sparkSession.createDataFrame(hot, lookup.schema)
-    rest = df.join(F.broadcast(few), same_keys(df, few, keys), "left_anti")
-    heavy_rows = _lookup_join(df, F.broadcast(few.drop(weight)), keys)
+    rest = df.join(hot, same_keys(df, hot, keys), "left_anti")
+    heavy_rows = _lookup_join(df, hot.drop(weight), keys)
     return heavy_rows.unionByName(_lookup_join(rest, lookup.drop(weight), keys))
 
 

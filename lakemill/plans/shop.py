@@ -212,9 +212,9 @@ def year_over_year(orders: DataFrame, items: DataFrame) -> DataFrame:
 def category_shift(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """First and latest category of each customer; order id and product settle equal dates.
 
-    Only the ends are needed, so each is an aggregate combined before the shuffle: no window.
+    Items of unknown products do not count. Only the ends are needed, so each is an aggregate combined before the shuffle: no window.
     """
-    lines = items.groupBy("order_id").agg(
+    lines = items.join(products.select("product_id"), "product_id", "left_semi").groupBy("order_id").agg(
         F.min("product_id").alias("first_product"), F.max("product_id").alias("last_product")
     )
     placed = known(orders).select("order_id", "customer_id", "order_date").join(lines, "order_id")

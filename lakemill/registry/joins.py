@@ -25,13 +25,19 @@ def inner(t):
     )
 
 
-LATE = "(SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2001-06-01')"
+#: Earlier orders carry the key of no customer, so both sides have rows without a partner.
+LATE = """(SELECT * REPLACE (CASE WHEN o_orderdate >= TIMESTAMP '2001-06-01' THEN o_custkey ELSE -1 - o_custkey END AS o_custkey)
+  FROM orders)"""
+
+
+def late_orders(t):
+    known = F.col("o_orderdate") >= dates.moment("2001-06-01")
+    return t.orders.withColumn("o_custkey", F.when(known, F.col("o_custkey")).otherwise(-1 - F.col("o_custkey")))
 
 
 @entry("J02", f"SELECT c_custkey, c_name, o_orderkey, o_totalprice FROM customer LEFT JOIN {LATE} o ON c_custkey = o_custkey")
 def left(t):
-    late = t.orders.filter(F.col("o_orderdate") >= dates.moment("2001-06-01"))
-    return t.customer.join(late, F.col("c_custkey") == F.col("o_custkey"), "left").select(
+    return t.customer.join(late_orders(t), F.col("c_custkey") == F.col("o_custkey"), "left").select(
         "c_custkey", "c_name", "o_orderkey", "o_totalprice"
     )
 
@@ -52,8 +58,7 @@ def star(t):
 
 @entry("J04", f"SELECT c_custkey, o_orderkey FROM {LATE} o RIGHT JOIN customer ON c_custkey = o_custkey")
 def right(t):
-    late = t.orders.filter(F.col("o_orderdate") >= dates.moment("2001-06-01"))
-    return late.join(t.customer, F.col("c_custkey") == F.col("o_custkey"), "right").select("c_custkey", "o_orderkey")
+    return late_orders(t).join(t.customer, F.col("c_custkey") == F.col("o_custkey"), "right").select("c_custkey", "o_orderkey")
 
 
 @entry(

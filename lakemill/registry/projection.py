@@ -161,11 +161,13 @@ def correlated_maximum(t):
 @entry(
     "P18",
     """SELECT c_custkey FROM customer WHERE c_custkey NOT IN
-  (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' AND o_custkey IS NOT NULL)""",
+  (SELECT CASE WHEN o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' THEN o_custkey ELSE -1 - o_custkey END FROM orders
+   WHERE o_custkey IS NOT NULL)""",
 )
 def not_in(t):
-    urgent = t.orders.filter((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT"))
-    return orphans(t.customer.select("c_custkey"), urgent.select(F.col("o_custkey").alias("c_custkey")), "c_custkey")
+    urgent = (F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
+    key = F.when(urgent, F.col("o_custkey")).otherwise(-1 - F.col("o_custkey"))
+    return orphans(t.customer.select("c_custkey"), t.orders.select(key.alias("c_custkey")), "c_custkey")
 
 
 @entry(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakemill.registry import Tables
-from lakemill.session import spread
+
 
 
 def customers(t: Tables) -> DataFrame:
@@ -145,7 +145,7 @@ RAW_ITEM = (
 
 
 def raw_items(t: Tables) -> DataFrame:
-    return spread(t.lineitem).selectExpr(*parts(RAW_ITEM))
+    return t.lineitem.selectExpr(*parts(RAW_ITEM))
 
 
 def kept_orders(t: Tables) -> DataFrame:
@@ -196,7 +196,7 @@ ENCOUNTER_COLUMNS = {
 
 def _lines(t: Tables) -> DataFrame:
     return (
-        spread(t.lineitem).join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(t.part, F.col("l_partkey") == F.col("p_partkey"))
         .join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey"))

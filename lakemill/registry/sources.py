@@ -61,10 +61,21 @@ def parquet_sink(t):
     return files.read_parquet(t.spark, path)
 
 
-@entry("S06", "SELECT event_id, user_id, event_type, value, props FROM events")
+REMARK = """CASE WHEN lang = 'de' THEN '' WHEN lang = 'fr' THEN NULL WHEN lang = 'es' THEN 'say "' || source || '", ok '
+  ELSE ' \\ ' || source END"""
+
+
+@entry("S06", f"SELECT doc_id, text, {REMARK} AS remark, n_chars FROM documents")
 def csv_sink(t):
+    """Texts with line breaks, quotes, commas, blanks at the ends, empty texts and nulls."""
     path = t.scratch("s06")
-    rows = t.events.select("event_id", "user_id", "event_type", "value", "props")
+    remark = (
+        F.when(F.col("lang") == "de", "")
+        .when(F.col("lang") == "fr", None)
+        .when(F.col("lang") == "es", F.concat(F.lit('say "'), "source", F.lit('", ok ')))
+        .otherwise(F.concat(F.lit(" \\ "), "source"))
+    )
+    rows = t.documents.select("doc_id", "text", remark.alias("remark"), "n_chars")
     files.write_csv(rows, path)
     return files.read_csv(t.spark, path, rows.schema)
 
@@ -110,13 +121,14 @@ def quality_lines(t):
 
 @entry(
     "S10",
-    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS c_acctbal,
+    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, '"' || c_name || '",' || chr(10) AS c_name, CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS VARCHAR) AS c_acctbal,
   ROW_NUMBER() OVER (ORDER BY c_custkey) AS _bronze_row_id, TRUE AS has_lineage FROM customer""",
 )
 def bronze_ingest(t):
     """Files in key order, so that the row id follows the key."""
     path = t.scratch("s10")
-    rows = t.customer.select("c_custkey", "c_name", F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"))
+    name = F.concat(F.lit('"'), "c_name", F.lit('",\n'))
+    rows = t.customer.select("c_custkey", name.alias("c_name"), F.col("c_acctbal").cast("decimal(12,2)").alias("c_acctbal"))
     files.write_csv(rows.repartitionByRange(4, "c_custkey").sortWithinPartitions("c_custkey"), path)
     layer = bronze.ingest(t.spark, path, t.scratch("s10-bronze"))
     lineage = F.col("_ingestion_timestamp").isNotNull() & F.col("_source_file").endswith(".csv")

@@ -49,16 +49,6 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/lakemill/{label}-{uuid.uuid4().hex}"
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a file scan on every core, for costly work on each row.
-
-    A small file may be one split. Where a scan has as many splits as there are cores, which
-    is the case for any large table, it is left alone.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     """Writes `df` to the shared folder and reads it back.
 

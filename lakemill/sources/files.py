@@ -9,13 +9,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+#: Quotes are doubled within quoted text; blanks stay.
+CSV = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+#: An empty text is quoted and a null is not. The reader takes a field without anything for its
+#: null value, which has to differ from the empty text.
+READ = {**CSV, "nullValue": "\0", "emptyValue": ""}
+WRITE = {**CSV, "nullValue": "", "emptyValue": '""'}
+
+
+def read_csv(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, multi_line: bool = True
+) -> DataFrame:
+    """Typed rows of CSV files; a file whose header names other columns, or in another order, is refused.
+
+    Quoted text may hold line breaks, so a file is read by one task. `multi_line=False` lets large
+    files without such text be split.
+    """
+    reader = spark.read.schema(schema).options(**READ, multiLine=multi_line, enforceSchema=False)
+    return reader.csv(path)
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """Guesses types by a pass over all rows: for exploration only."""
-    return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return spark.read.options(**READ, multiLine=True, inferSchema=True).csv(path)
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -24,12 +46,12 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 def header_columns(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
     """Column names from the header line; no data row is read."""
-    return spark.read.option("header", True).csv(path).columns
+    return spark.read.options(**READ).csv(path).columns
 
 
-def read_csv_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+def read_csv_text(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
     """Every column as text, so that no value is changed while reading."""
-    return read_csv(spark, path, text_schema(header_columns(spark, path)))
+    return read_csv(spark, path, text_schema(header_columns(spark, path)), multi_line)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -47,7 +69,7 @@ def stored(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFr
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**WRITE).csv(path)
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

@@ -120,7 +120,10 @@ def run_expected(
 
 
 def expectation_totals(spark: SparkSession, target: str) -> DataFrame:
-    counts = spark.read.parquet(*files.child_paths(spark, f"{target}/counts"))
+    written = files.child_paths(spark, f"{target}/counts")
+    if not written:
+        return spark.createDataFrame([], "expectation string, passed long, failed long")
+    counts = spark.read.parquet(*written)
     return counts.groupBy("expectation").agg(F.sum("passed").alias("passed"), F.sum("failed").alias("failed"))
 
 
@@ -205,6 +208,9 @@ def apply_changes(
         store.write(batch_id, rebuild_history(arrived, key, tracked, sequence, **options))
 
     run_batches(stream, each, checkpoint)
+    if store.rows() is None:  # nothing has arrived yet
+        none = stream.sparkSession.createDataFrame([], stream.select(*named(columns)).schema)
+        return rebuild_history(none, key, tracked, sequence, **options).filter("is_version").drop("is_version")
     return store.latest()
 
 

@@ -59,11 +59,11 @@ class TokenFiles:
 def train_dictionary(docs: DataFrame, tokenizer: str, text: str = "text") -> bytes:
     """A zstandard dictionary for id arrays; a raw one of common ids if the sample is too small."""
     rows = (
-        docs.select(text_of(text).alias("text"))
-        .where(F.length("text") > 0)
-        .select(F.substring("text", 1, 4 * SAMPLE_IDS).alias("text"), F.xxhash64("text", F.lit(5)).alias("h"))
-        .orderBy("h", "text")
+        docs.select("doc_id", text_of(text).alias("text"))
+        .where("text <> ''")
+        .orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", "text")
         .limit(SAMPLE_ROWS)
+        .select(F.substring("text", 1, 4 * SAMPLE_IDS).alias("text"))
         .collect()
     )
     ids = Encoder(tokenizer).encode([r.text for r in rows], END_ID)

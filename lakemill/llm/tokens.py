@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -48,6 +49,11 @@ class Encoder:
         split = about.get("pre_tokenizer") or {}
         plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
         self.splits = bool(plain and not about.get("normalizer"))
+        # Byte-level vocabularies write a byte as its own Latin-1 character if that can be seen, and
+        # the others, in order, as the characters from 256 on.
+        seen = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = [b for b in range(256) if b not in seen]
+        self.signs = {b: 256 + k for k, b in enumerate(hidden)}
         self.special = [t["content"] for t in about.get("added_tokens") or ()]
         self._forget()
 
@@ -60,20 +66,15 @@ class Encoder:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_words(self, words: list[str]) -> list[list[int]]:
-        """Ids of letters-only words, each after a blank: many in one text, a newline between."""
-        out: list[list[int]] = []
-        newline = self._encode(["\n"])[0]
-        for at in range(0, len(words), 1000):
-            part = words[at : at + 1000]
-            ids = self._encode([" " + "\n ".join(part)])[0]
-            found: list[list[int]] = [[]]
-            for i in ids:
-                if i == newline[0]:
-                    found.append([])
-                else:
-                    found[-1].append(i)
-            out += found if len(found) == len(part) else self._encode([" " + w for w in part])
-        return out
+        """Ids of letters-only words, each after a blank: one piece for the tokenizer's pattern.
+
+        The tokenizer's own model encodes the piece, its bytes written as the characters that
+        stand for them in the vocabulary.
+        """
+        tokenize, signs = self.tokenizer.model.tokenize, self.signs
+        blank = chr(signs[32])
+        pieces = (blank + (w if w.isascii() else w.encode("utf-8").decode("latin-1").translate(signs)) for w in words)
+        return [[t.id for t in tokenize(p)] for p in pieces]
 
     def _learn(self) -> None:
         """Looks up the ids of the pieces that were new in the last batch."""
@@ -83,20 +84,21 @@ class Encoder:
         codes.new = []
         split, words, others = [], [], []
         for p in todo:
-            core = p.rstrip(_TAIL) if isinstance(p, str) else ""
-            if core and core.isalpha():
-                (words if core == p else split).append(p)
+            if isinstance(p, tuple):
+                others.append(p)
+            elif p.isalpha():
+                words.append(p)
+            elif (core := p.rstrip(_TAIL)).isalpha():
+                split.append((p, core))
             else:
                 others.append(p)
-        cores = {p.rstrip(_TAIL) for p in split}
-        unknown = list(dict.fromkeys([*words, *(c for c in cores if c not in codes)]))
+        unknown = list(dict.fromkeys([*words, *(c for _, c in split if c not in codes)]))
         ids.update(zip(unknown, self._encode_words(unknown)))
-        tails = list({p[len(p.rstrip(_TAIL)) :] for p in split})
+        tails = list({p[len(c) :] for p, c in split})
         after = dict(zip(tails, self._encode(tails)))
         # A piece that is text stands after a blank unless it starts with a newline; (text,) starts a document.
         ids.update(zip(others, self._encode([p[0] if isinstance(p, tuple) else p if p[:1] == "\n" else " " + p for p in others])))
-        for p in split:
-            core = p.rstrip(_TAIL)
+        for p, core in split:
             ids[p] = (ids[core] if core in ids else self._known(codes[core])) + after[p[len(core) :]]
         self._store(first, [ids[p] for p in todo])
 
@@ -111,7 +113,7 @@ class Encoder:
         while n > len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
             self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
-        self.flat[self.used : self.used + total] = np.fromiter((i for ids in lists for i in ids), np.uint32, total)
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(lists), np.uint32, total)
         self.starts[first:n] = self.used + np.cumsum(sizes) - sizes
         self.sizes[first:n] = sizes
         self.used += total
@@ -123,10 +125,12 @@ class Encoder:
         out: list = [None] * len(texts)
         whole, pieces, sizes, split = [], [], [], []
         for i, t in enumerate(texts):
-            if not self.splits or _UNUSUAL.search(t) or any(s in t for s in self.special):
+            parts: list = t.replace("\n", " \n").split(" ")
+            # As many parts as words: one blank or newline between any two.
+            single = len(parts) - (not parts[0]) == len(t.split())
+            if not self.splits or not single and _UNUSUAL.search(t) or any(s in t for s in self.special):
                 whole.append(i)
                 continue
-            parts: list = t.replace("\n", " \n").split(" ")
             if parts[0]:
                 parts[0] = (parts[0],)
             else:

@@ -125,12 +125,12 @@ class Encoder:
         out: list = [None] * len(texts)
         whole, pieces, sizes, split = [], [], [], []
         for i, t in enumerate(texts):
-            parts: list = t.replace("\n", " \n").split(" ")
-            # As many parts as words: one blank or newline between any two.
-            single = len(parts) - (not parts[0]) == len(t.split())
+            # Mostly there is one blank or newline between words and nothing else, which is cheap to see.
+            single = " ".join(t.split()) == t.replace("\n", " ")
             if not self.splits or not single and _UNUSUAL.search(t) or any(s in t for s in self.special):
                 whole.append(i)
                 continue
+            parts: list = t.replace("\n", " \n").split(" ")
             if parts[0]:
                 parts[0] = (parts[0],)
             else:

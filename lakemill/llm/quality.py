@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemill.llm.common import add_columns, text_of
+from lakemill.llm.common import add_columns, drawn, text_of
 from lakemill.llm.subwords import WordScores, features
 
 #: Added to the words of a text for each word that equals the one before it.
@@ -74,11 +74,12 @@ class Model:
 def sample_rows(labelled: DataFrame, text: str, label: str, rows: int, chars: int) -> list:
     """At most `rows` (text, label) rows of at most `chars` characters, drawn by a hash of the row.
 
-    The same rows at any partitioning. Rows without a label are left out.
+    Other columns, such as an id, take part in the hash. Rows without a label are left out.
     """
-    eligible = labelled.select(text_of(text).alias("text"), F.col(f"`{label}`").cast("int").alias("label"))
+    others = [F.col(f"`{c}`").alias(f"other_{k}") for k, c in enumerate(labelled.columns) if c not in (text, label)]
+    eligible = labelled.select(text_of(text).alias("text"), F.col(f"`{label}`").cast("int").alias("label"), *others)
     eligible = eligible.where(F.col("label").isin(0, 1) & (F.length("text") <= chars))
-    return eligible.orderBy(F.xxhash64("text", F.lit(3)), "label", "text").limit(rows).collect()
+    return drawn(eligible, rows).select("text", "label").collect()
 
 
 def train(texts: list[str], labels: list[int], settings: Settings = Settings()) -> Model:
@@ -150,7 +151,7 @@ def score(docs: DataFrame, model, text: str = "text", out: str = "score") -> Dat
 
 
 def with_labels(docs: DataFrame, labels: DataFrame, label: str, usable: Column, id_col: str = "doc_id") -> DataFrame:
-    """(text, label) of the documents whose label row satisfies `usable`; other columns are left."""
+    """(__id, text, label) of the documents whose label row satisfies `usable`; other columns are left."""
     marks = labels.where(usable & F.col(f"`{label}`").isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(f"`{label}`").alias(label))
     texts = docs.select(F.col(id_col).alias("__id"), F.col("text"))
-    return texts.join(marks, "__id").select("text", label)
+    return texts.join(marks, "__id").select("__id", "text", label)

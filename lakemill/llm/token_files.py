@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakemill.llm.common import prepare, text_of
+from lakemill.llm.common import drawn, prepare, text_of
 from lakemill.llm.tokens import END_ID, Encoder
 from lakemill.session import fresh_folder, settle
 
@@ -58,14 +58,8 @@ class TokenFiles:
 
 def train_dictionary(docs: DataFrame, tokenizer: str, text: str = "text") -> bytes:
     """A zstandard dictionary for id arrays; a raw one of common ids if the sample is too small."""
-    rows = (
-        docs.select("doc_id", text_of(text).alias("text"))
-        .where("text <> ''")
-        .orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id", "text")
-        .limit(SAMPLE_ROWS)
-        .select(F.substring("text", 1, 4 * SAMPLE_IDS).alias("text"))
-        .collect()
-    )
+    some = docs.select("doc_id", text_of(text).alias("text")).where("text <> ''")
+    rows = drawn(some, SAMPLE_ROWS).select(F.substring("text", 1, 4 * SAMPLE_IDS).alias("text")).collect()
     ids = Encoder(tokenizer).encode([r.text for r in rows], END_ID)
     samples = [x[:SAMPLE_IDS].astype("<u4").tobytes() for x in ids]
     try:

@@ -10,7 +10,7 @@ def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "2000", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse"))},
+        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.sql.maxMetadataStringLength": "2000", "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")), "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from lakemill.llm.common import add_columns, drawn, text_of
 from lakemill.llm.subwords import WordScores, features
+from lakemill.session import settle
 
 #: Added to the words of a text for each word that equals the one before it.
 REPEAT = "\x01repeat"
@@ -150,8 +151,18 @@ def score(docs: DataFrame, model, text: str = "text", out: str = "score") -> Dat
     return add_columns(docs, text, [T.StructField(out, T.DoubleType())], make)
 
 
-def with_labels(docs: DataFrame, labels: DataFrame, label: str, usable: Column, id_col: str = "doc_id") -> DataFrame:
-    """(__id, text, label) of the documents whose label row satisfies `usable`; other columns are left."""
-    marks = labels.where(usable & F.col(f"`{label}`").isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(F.max(f"`{label}`").alias(label))
-    texts = docs.select(F.col(id_col).alias("__id"), F.col("text"))
-    return texts.join(marks, "__id").select("__id", "text", label)
+def with_labels(
+    docs: DataFrame, labels: DataFrame, label: str, usable: Column, id_col: str = "doc_id", text: str = "text", settings=Settings()
+) -> DataFrame:
+    """(__id, text, label) of documents whose label row satisfies `usable`, for a fit with `settings`.
+
+    At most `settings.train_rows` ids are drawn, by a hash, from all that have a document and a
+    label of 0 or 1; only ids are shuffled for that, and the texts are met by these few rows. Texts
+    over `settings.train_chars` are left out. Ids that are null have no label; an id with several
+    labels takes the larger one; rows that repeat an id are all given.
+    """
+    marks = labels.where(usable & F.col(f"`{label}`").isin(0, 1)).groupBy(F.col(f"`{id_col}`").alias("__id")).agg(F.max(f"`{label}`").alias(label))
+    texts = docs.select(F.col(f"`{id_col}`").alias("__id"), text_of(text).alias("text"))
+    picked = settle(drawn(marks.join(texts.select("__id"), "__id", "left_semi"), settings.train_rows), "labelled-ids")
+    met = texts.join(F.broadcast(picked), "__id").where(F.length("text") <= settings.train_chars)  # at most `train_rows` rows
+    return settle(met.select("__id", "text", label), "labelled-texts")

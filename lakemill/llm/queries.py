@@ -30,7 +30,8 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
 def _scored(spark: SparkSession, folder: str, module, label: str, parts: int, held: int) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     labels = _table(spark, folder, "labels").select("doc_id", label)
-    model = module.fit(quality.with_labels(docs, labels, label, fold("doc_id", parts) != held), label=label)
+    some = quality.with_labels(docs, labels, label, fold("doc_id", parts) != held, settings=module.Settings())
+    model = module.fit(some, label=label)
     scored = quality.score(docs, model).select("doc_id", "score")
     return scored.select(
         "doc_id", (fold("doc_id", parts) == held).alias("held_out"), "score", (F.col("score") >= POSITIVE).cast("int").alias("predicted")

@@ -259,9 +259,10 @@ _SQL_DATES = {
 
 
 def raw_encounters(t: Tables) -> DataFrame:
-    lines = _lines(t)
+    """The tables are joined once; a line of status O is made twice."""
     columns = [F.expr(e.format(**_SPARK_DATES)).alias(c) for c, e in RAW_ENCOUNTER.items()]
-    return lines.select(*columns).unionByName(lines.filter("l_linestatus = 'O'").select(*columns))
+    copies = F.when(F.col("l_linestatus") == "O", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return _lines(t).select(*columns, F.explode(copies).alias("_copy")).drop("_copy")
 
 
 _RAW_ENCOUNTER_SQL = ", ".join('{} AS "{}"'.format(e.format(**_SQL_DATES), c) for c, e in RAW_ENCOUNTER.items())

@@ -11,7 +11,17 @@ from lakemill.operators import clean
 from lakemill.operators.statistics import share_of_rows
 from lakemill.plans import layers, marts
 from lakemill.registry import entry, roles
-from lakemill.registry.sql import dbl, percent
+from lakemill.registry.cleaning import (
+    CLEAN_ITEMS_SQL,
+    CLEAN_ORDERS_SQL,
+    CLEAN_PRODUCTS_SQL,
+    ITEM_COUNTS_SQL,
+    ORDER_COUNTS_SQL,
+    PRODUCT_COUNTS_SQL,
+    RUN_RECORD_SQL,
+)
+from lakemill.registry.roles import ENCOUNTERS_SQL
+from lakemill.registry.sql import dbl, mean, month, percent
 from lakemill.sources import bronze, catalog, files, reports
 
 
@@ -80,8 +90,25 @@ def csv_sink(t):
     return files.read_csv(t.spark, path, rows.schema)
 
 
-@entry("S07")
+BILLED_SQL = f"""COUNT(*) AS row_count, {dbl('SUM("Billing Amount")')} AS total_billing, {mean('SUM("Billing Amount")', 'COUNT("Billing Amount")')} AS avg_billing"""
+SNAPSHOT_SCHEMA = """kpis STRUCT<total_hospitals: BIGINT, total_patients: BIGINT, total_billing: DOUBLE, avg_billing: DOUBLE>,
+  condition ARRAY<STRUCT<`Medical Condition`: STRING, patient_count: BIGINT, total_billing: DOUBLE, avg_billing: DOUBLE, pct_of_patients: DOUBLE>>,
+  admission_type ARRAY<STRUCT<`Admission Type`: STRING, patient_count: BIGINT, total_billing: DOUBLE, avg_billing: DOUBLE>>,
+  insurance ARRAY<STRUCT<`Insurance Provider`: STRING, patient_count: BIGINT, total_billing: DOUBLE, avg_billing: DOUBLE>>,
+  monthly_trend ARRAY<STRUCT<admission_month: STRING, admissions: BIGINT>>"""
+
+
+@entry(
+    "S07",
+    f"""WITH {ENCOUNTERS_SQL}, parts AS (
+  SELECT 'kpis' AS part, CAST(COUNT(DISTINCT "Hospital") AS VARCHAR) AS label, {BILLED_SQL}, NULL::DOUBLE AS share FROM cur
+  UNION ALL SELECT 'condition', "Medical Condition", {BILLED_SQL}, {percent("COUNT(*)", "(SELECT COUNT(*) FROM cur)")} FROM cur GROUP BY ALL
+  UNION ALL SELECT 'admission_type', "Admission Type", {BILLED_SQL}, NULL FROM cur GROUP BY ALL
+  UNION ALL SELECT 'insurance', "Insurance Provider", {BILLED_SQL}, NULL FROM cur GROUP BY ALL
+  UNION ALL SELECT 'monthly_trend', {month('"Date of Admission"')}, COUNT(*), NULL, NULL, NULL FROM cur GROUP BY ALL) SELECT * FROM parts""",
+)
 def json_snapshot(t):
+    """The document's objects and lists, read back as rows."""
     current = roles.current_encounters(t)
     tables = {
         "condition": (marts.condition_contribution(current), ["Medical Condition"]),
@@ -91,10 +118,26 @@ def json_snapshot(t):
     }
     path = t.scratch("s07")
     reports.write_document(reports.snapshot(tables, {"kpis": marts.key_figures(current)}), path)
-    return t.spark.read.text(path).withColumnRenamed("value", "document")
+    read = t.spark.read.text(path).select(F.from_json("value", SNAPSHOT_SCHEMA).alias("d")).select("d.*")
+
+    def part(name, label, rows, total="x.total_billing", average="x.avg_billing", share="CAST(NULL AS DOUBLE)"):
+        inner = read.selectExpr(f"explode({name}) AS x" if name != "kpis" else "kpis AS x")
+        return inner.selectExpr(
+            f"'{name}' AS part", f"CAST({label} AS STRING) AS label", f"{rows} AS row_count",
+            f"{total} AS total_billing", f"{average} AS avg_billing", f"{share} AS share",
+        )
+
+    none = "CAST(NULL AS DOUBLE)"
+    return (
+        part("kpis", "x.total_hospitals", "x.total_patients")
+        .unionAll(part("condition", "x.`Medical Condition`", "x.patient_count", share="x.pct_of_patients"))
+        .unionAll(part("admission_type", "x.`Admission Type`", "x.patient_count"))
+        .unionAll(part("insurance", "x.`Insurance Provider`", "x.patient_count"))
+        .unionAll(part("monthly_trend", "x.admission_month", "x.admissions", none, none))
+    )
 
 
-@entry("S08")
+@entry("S08", RUN_RECORD_SQL.format(gold="PASS"))
 def quality_json(t):
     raw = roles.raw_encounters(t)
     counts = clean.clean_encounters_counts(raw)
@@ -104,7 +147,14 @@ def quality_json(t):
     return t.spark.read.json(path).drop("timestamp")
 
 
-@entry("S09")
+@entry(
+    "S09",
+    f"""WITH {CLEAN_ORDERS_SQL}, {CLEAN_PRODUCTS_SQL}, {CLEAN_ITEMS_SQL}, o AS ({ORDER_COUNTS_SQL}), n AS ({PRODUCT_COUNTS_SQL}), i AS ({ITEM_COUNTS_SQL}),
+  counted AS (SELECT 'orders' AS section, metric, found FROM (UNPIVOT o ON * INTO NAME metric VALUE found)
+    UNION ALL SELECT 'products', metric, found FROM (UNPIVOT n ON * INTO NAME metric VALUE found)
+    UNION ALL SELECT 'order_items', metric, found FROM (UNPIVOT i ON * INTO NAME metric VALUE found))
+  SELECT '[' || section || ']   ' || metric || ': ' || found AS value FROM counted""",
+)
 def quality_lines(t):
     raw_items, kept = roles.raw_items(t), roles.kept_orders(t)
     lines = reports.metric_lines(
@@ -167,10 +217,17 @@ def replaced(t):
     return catalog.replace_table(t.spark, name, query, path=t.scratch("s13"))
 
 
-@entry("S14")
+@entry("S14", "SELECT c_nationkey, SUM(strlen(c_name) + 1)::BIGINT AS size_bytes, TRUE AS has_name, TRUE AS has_time FROM customer GROUP BY 1")
 def listing(t):
-    found = files.list_files(t.spark, t.folder, "*.parquet")
-    return found.select("file_name", "size_bytes", F.col("last_modified").isNotNull().alias("has_time"))
+    """Customer names as text files, a folder a nation; the sizes listed are the bytes of the names and line ends."""
+    path = t.scratch("s14")
+    t.customer.select("c_name", "c_nationkey").write.partitionBy("c_nationkey").text(path)
+    found = files.list_files(t.spark, path, "*.txt")
+    return found.groupBy(F.regexp_extract("path", r"c_nationkey=(\d+)/", 1).cast("bigint").alias("c_nationkey")).agg(
+        F.sum("size_bytes").alias("size_bytes"),
+        F.bool_and(F.col("file_name").endswith(".txt")).alias("has_name"),
+        F.bool_and(F.col("last_modified").isNotNull()).alias("has_time"),
+    )
 
 
 @entry("S15", "SELECT COUNT(*) AS rows_read, COUNT(*) AS rows_written, TRUE AS verified FROM lineitem")

@@ -303,6 +303,7 @@ def test_pipeline_stage_by_stage(spark, docs, tmp_path):
     found = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()}
     ids = [r.doc_id for r in single.collect()]
     assert single.columns == docs.columns and sorted(i for i in ids if i is not None) == sorted({i for i, c in found if i is not None and i == c})
+    assert [r.text for r in single.collect() if r.doc_id is None] == ["no id"]  # the other equals a row with an id
     cut = names[2](spark, single, str(tmp_path))
     want = brute_repeats([tuple(r) for r in single.collect()])
     got = {r.doc_id: r.text for r in cut.collect() if r.doc_id is not None}

@@ -315,6 +315,14 @@ def test_pipeline_stage_by_stage(spark, docs, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(pieces)
 
 
+def test_decontamination_keeps_clean_rows_without_an_id(spark, tmp_path):
+    passage = "the quick brown fox jumps over the lazy dog and so on"
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(None, f"before it {passage} after", "x"), (None, "clean text of some words", None), (None, None, "z"), (1, passage, "q"), (2, "clean too", "q"), (3, "", None)]
+    kept = corpus_pipeline.without_benchmark(spark, spark.createDataFrame(rows, "doc_id long, text string, item_id string"), str(tmp_path))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[2], rows[4], rows[5]], key=str)
+
+
 def test_suffix_query_digests(spark):
     got = queries.op7_suffixes(spark, TABLES).collect()
     rows = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text").collect()

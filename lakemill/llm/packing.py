@@ -2,10 +2,9 @@
 
 Pieces of equal length are interchangeable, so a packing is decided on the counts of the lengths:
 at most as many numbers as a sequence has tokens, whatever the size of the corpus. Around the
-largest remaining length the undominated fillings of the room are enumerated by branch and bound:
-a branch is cut when the waste that it must leave is no less than that of the best filling so far,
-which starts as the best-fit one. A filling is used as often as the counts allow. Each piece then
-finds its place from its rank among the pieces of its length.
+largest remaining length comes the filling of the room that wastes least, found from the sums that
+the lengths can make, without recursion. A filling is used as often as the counts allow. Each
+piece then finds its place from its rank among the pieces of its length.
 """
 
 from __future__ import annotations
@@ -26,8 +25,6 @@ from lakemill.session import settle
 CAPACITY = 1024
 #: Rows whose ranks are found in one group; decides how many groups there are, not what they hold.
 RANKED_ROWS = 10_000
-#: Branches that one search for a filling may open before the best one so far is taken.
-BRANCHES = 4_000
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -66,49 +63,65 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str =
     return source.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary").withColumnRenamed("doc_id", id_col)
 
 
-def fill(room: int, counts: np.ndarray) -> list[int]:
-    """Lengths, in falling order, of an undominated filling of `room` from the counted lengths.
+def _reach(room: int, lengths: list[int], counts: list[int]) -> list[int]:
+    """For each k the sums up to `room` that lengths[k:] can make, as the bits of a number."""
+    full = (1 << (room + 1)) - 1
+    out = [1] * (len(lengths) + 1)
+    for k in range(len(lengths) - 1, -1, -1):
+        sums, many = out[k + 1], min(counts[k], room // lengths[k])
+        step = 1
+        while many and sums != full:  # 1, 2, 4 ... and the rest make every number up to the count
+            step = min(step, many)
+            sums |= sums << (lengths[k] * step) & full
+            many -= step
+            step *= 2
+        out[k] = sums
+    return out
+
+
+def fillings(room: int, counts: np.ndarray) -> Iterator[list[tuple[int, int]]]:
+    """All fillings of `room` from the counted lengths, as (length, how often), those of least waste first.
 
-    The first branch takes the largest length that fits, again and again: the best-fit filling,
-    which is the incumbent. A filling is undominated if none of its lengths, nor two together,
-    can be replaced by one larger length at hand that still fits; taking larger lengths first
-    and improving strictly reaches such a one. A branch ends when what the lengths left to it
-    can still add is not enough to beat the incumbent's waste.
+    Among fillings of equal waste those that take larger lengths more often come first. Only
+    sums that the lengths left can make are followed, so no branch ends without a filling.
     """
     lengths = np.flatnonzero(counts[: room + 1])[::-1].tolist()
-    best: list[int] = []
-    least = room  # waste of the incumbent
-    opened = 0
-    chosen: list[int] = []
-
-    def search(at: int, left: int) -> None:
-        nonlocal best, least, opened
-        if left < least:
-            best, least = chosen.copy(), left
-        opened += 1
-        if least == 0 or opened > BRANCHES:
-            return
-        while at < len(lengths) and lengths[at] > left:
-            at += 1
-        rest = 0
-        for k in range(at, len(lengths)):
-            rest += lengths[k] * int(counts[lengths[k]])
-            if rest >= left:
+    many = counts[lengths].tolist()
+    reach = _reach(room, lengths, many)
+    for total in range(room, -1, -1):
+        if not reach[0] >> total & 1:
+            continue
+        chosen: list[tuple[int, int]] = []  # (number of the length, how often)
+        k, need = 0, total
+        while True:
+            while need:  # down to a filling, each length as often as the others can complete
+                t = min(many[k], need // lengths[k])
+                while t and not reach[k + 1] >> (need - t * lengths[k]) & 1:
+                    t -= 1
+                if t:
+                    chosen.append((k, t))
+                    need -= t * lengths[k]
+                k += 1
+            yield [(lengths[j], t) for j, t in chosen]
+            while chosen:  # back to the last length that can be taken less often
+                k, t = chosen.pop()
+                need += t * lengths[k]
+                t -= 1
+                while t >= 0 and not reach[k + 1] >> (need - t * lengths[k]) & 1:
+                    t -= 1
+                if t >= 0:
+                    if t:
+                        chosen.append((k, t))
+                        need -= t * lengths[k]
+                    k += 1
+                    break
+            else:
                 break
-        if left - rest >= least:
-            return  # even everything that is left wastes as much
-        for k in range(at, len(lengths)):
-            size = lengths[k]
-            if chosen.count(size) == counts[size]:
-                continue
-            chosen.append(size)
-            search(k, left - size)
-            chosen.pop()
-            if least == 0 or opened > BRANCHES:
-                return
-
-    search(0, room)
-    return best
+
+
+def fill(room: int, counts: np.ndarray) -> list[int]:
+    """Lengths, in falling order, of the filling of `room` that wastes least, with the largest lengths among equals."""
+    return [size for size, t in next(fillings(room, counts)) for _ in range(t)]
 
 
 def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:

@@ -242,6 +242,14 @@ def test_plan_is_optimal_on_small_cases():
     assert close >= 57
 
 
+def test_packing_of_thousands_of_null_texts(spark):
+    rows = [(k, None, "en", "s", None) for k in range(3000)] + [(5000, "", "en", "s", None), (5001, "one two", "en", "s", None)]
+    got = packing.pack(spark.createDataFrame(rows, DOCS), queries.tokenizer_path()).collect()
+    total = sum(r.length for r in got)
+    assert len(got) == 3002 and len({(r.sequence_id, r.offset) for r in got}) == 3002
+    assert len({r.sequence_id for r in got}) == -(-total // 1024)
+
+
 @pytest.mark.parametrize("name,label,parts,held", [("op2_quality", "quality", 5, 0), ("op8_toxicity", "toxic", 4, 2)])
 def test_classifiers_on_held_out_rows(spark, name, label, parts, held):
     folder = "/root/testdata/sf0.01"

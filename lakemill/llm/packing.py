@@ -1,14 +1,16 @@
 """Best-fit packing of documents into sequences, by bin completion over classes of lengths.
 
 Pieces of equal length are interchangeable, so a packing is decided on the counts of the lengths:
-at most as many numbers as a sequence has tokens, whatever the size of the corpus. Around the
-largest remaining length comes the filling of the room that wastes least, found from the sums that
-the lengths can make, without recursion. A filling is used as often as the counts allow. Each
-piece then finds its place from its rank among the pieces of its length.
+at most as many numbers as a sequence has tokens, whatever the size of the corpus. The best-fit
+decreasing packing is the first incumbent. Branch and bound goes over the undominated fillings
+around the largest remaining length, found from the sums that the lengths can make, each used as
+often as the counts allow or once. Each piece then finds its place from its rank among the pieces
+of its length.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +27,8 @@ from lakemill.session import settle
 CAPACITY = 1024
 #: Rows whose ranks are found in one group; decides how many groups there are, not what they hold.
 RANKED_ROWS = 10_000
+#: Fillings that the search for a plan may try after its first descent; then the best plan so far is taken.
+NODES = 10_000
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
@@ -124,19 +128,130 @@ def fill(room: int, counts: np.ndarray) -> list[int]:
     return [size for size, t in next(fillings(room, counts)) for _ in range(t)]
 
 
-def plan(counts: np.ndarray, capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
-    """(lengths of a sequence, how many such sequences) until all counted pieces are used."""
-    left, out = counts.astype(np.int64).copy(), []
-    while left.any():
-        largest = int(np.flatnonzero(left)[-1])
-        left[largest] -= 1
-        pattern = (largest, *fill(capacity - largest, left))
-        left[largest] += 1
-        used = np.bincount(pattern, minlength=len(left))
-        times = int((left[used > 0] // used[used > 0]).min())
-        left -= used * times
-        out.append((pattern, times))
-    return out
+def dominated(filling: list[tuple[int, int]], room: int, counts: np.ndarray) -> bool:
+    """If a larger length at hand can stand for some lengths of `filling`, or for its waste.
+
+    The sums of one or more of its lengths are the bits of a number; a sum equal to a length
+    counts if several lengths make it, as one alone would be that length itself.
+    """
+    taken = dict(filling)
+    waste = room - sum(size * t for size, t in filling)
+    one, several = 0, 0  # sums of one or more lengths, and of two or more
+    for size in (size for size, t in filling for _ in range(t)):
+        several |= one << size
+        one |= one << size | 1 << size
+    for x in np.flatnonzero(counts[: room + 1]).tolist():
+        if counts[x] <= taken.get(x, 0):
+            continue
+        if x <= waste or several >> x & 1:
+            return True
+        low = max(1, x - waste)
+        if one >> low & ((1 << (x - low)) - 1):  # sums from x - waste to x - 1
+            return True
+    return False
+
+
+def bound(counts: np.ndarray, capacity: int) -> int:
+    """Sequences that any packing needs: by the sum, and by lengths that cannot share one (Martello and Toth's L2)."""
+    sizes = np.arange(len(counts))
+    n, total = np.cumsum(counts), np.cumsum(counts * sizes)
+    half = capacity // 2
+    k = np.arange(half + 1)
+    rest = np.maximum(capacity - k, half)
+    own = n[-1] - n[half]  # longer than half: one sequence each
+    free = (n[rest] - n[half]) * capacity - (total[rest] - total[half])  # room beside those of at most capacity - k
+    small = total[half] - np.concatenate([[0], total[:half]])  # from k to half
+    return int(max(-(-int(total[-1]) // capacity), own + max(0, int((-(-(small - free) // capacity)).max()))))
+
+
+def best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
+    """The best-fit decreasing packing, on counts: (lengths of a sequence, how many such sequences)."""
+    rooms: list[list[tuple[tuple[int, ...], int]]] = [[] for _ in range(capacity + 1)]
+    for size in np.flatnonzero(counts)[::-1].tolist():
+        left = int(counts[size])
+        for room in range(size, capacity + 1):
+            while left and (rooms[room] or room == capacity):
+                pattern, many = rooms[room].pop() if rooms[room] else ((), left)
+                t = min(room // size, left)
+                used = min(many, left // t)
+                rooms[room - t * size].append((pattern + (size,) * t, used))
+                left -= used * t
+                if many > used and pattern:
+                    rooms[room].append((pattern, many - used))
+            if not left:
+                break
+    return [group for groups in rooms for group in groups]
+
+
+def plan(counts: np.ndarray, capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[tuple[int, ...], int]]:
+    """(lengths of a sequence, how many such sequences) until all counted pieces are used.
+
+    Bin completion: the best-fit decreasing packing is the first incumbent. Then the undominated
+    fillings of the largest remaining length are branched over, least waste first, each as often
+    as the counts allow and, after that, once. A branch ends when the sequences it has and those
+    that the rest needs at least are no fewer than the incumbent's, or when its rest was met with
+    as few sequences. If the search ends within `nodes` fillings, the result has as few sequences as any packing.
+    """
+    left = counts.astype(np.int64).copy()
+    best = best_fit(left, capacity)
+    fewest, least = sum(n for _, n in best), bound(left, capacity)
+    path: list[tuple[tuple[int, ...], int]] = []
+    used, opened, turned = 0, 0, False  # opened counts from the first turn back
+    met: dict[bytes, int] = {}
+
+    def move(pattern: tuple[int, ...], times: int) -> None:
+        nonlocal left, used
+        left -= np.bincount(pattern, minlength=len(left)) * times
+        used += times
+
+    def often(pattern: tuple[int, ...]) -> int:
+        held = np.bincount(pattern, minlength=len(left))
+        return int((left[held > 0] // held[held > 0]).min())
+
+    def choices() -> Iterator[tuple[tuple[int, ...], int]]:
+        nonlocal best, fewest, opened
+        opened += turned
+        if not left.any():
+            if used < fewest:
+                best, fewest = path.copy(), used
+            return
+        state = hashlib.blake2b(left.tobytes(), digest_size=16).digest()
+        if used + bound(left, capacity) >= fewest or met.get(state, fewest) <= used:
+            return
+        met[state] = used
+        largest, before = int(np.flatnonzero(left)[-1]), used
+        room, pieces = capacity - largest, int(left @ np.arange(len(left)))
+        rest = left.copy()
+        rest[largest] -= 1
+        found = [(largest, *fill(room, rest))]
+        if sum(found[0]) >= pieces - (fewest - 1 - before) * capacity + capacity:
+            yield found[0], often(found[0])
+        for k, filling in enumerate(fillings(room, rest)):  # only reached if the search comes back here
+            pattern = (largest, *[size for size, t in filling for _ in range(t)])
+            if opened > nodes or sum(pattern) < pieces - (fewest - 1 - before) * capacity + capacity:
+                break  # it wastes more than a better packing may
+            opened += 1
+            if k and not dominated(filling, room, rest):
+                found.append(pattern)
+                yield pattern, often(pattern)
+        for pattern in found:
+            if often(pattern) > 1:
+                yield pattern, 1
+
+    stack = [choices()]
+    while stack and fewest > least and opened <= nodes:
+        chosen = next(stack[-1], None)
+        if chosen is not None:
+            path.append(chosen)
+            move(*chosen)
+            stack.append(choices())
+            continue
+        turned = True
+        stack.pop()
+        if path:
+            pattern, times = path.pop()
+            move(pattern, -times)
+    return best
 
 
 @dataclass(frozen=True)

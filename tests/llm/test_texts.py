@@ -242,6 +242,20 @@ def test_plan_is_optimal_on_small_cases():
     assert close >= 57
 
 
+def test_plan_goes_back_on_fillings():
+    sizes = [800, 672, 416, 416, 320, 192, 176, 48, 32]
+    assert sum(t for _, t in packing.plan(np.bincount(sizes, minlength=1025))) == 3  # the least waste at each step takes 4
+    rnd = random.Random(8)
+    for _ in range(200):  # sequences made full, then cut: as few must come out
+        sizes = []
+        for _ in range(5):
+            cuts = sorted(rnd.sample(range(1, 60), 3))
+            sizes += [hi - lo for lo, hi in zip([0, *cuts], [*cuts, 60])]
+        plan = packing.plan(np.bincount(sizes, minlength=61), 60)
+        assert sum(t for _, t in plan) == 5 and sorted(s for p, t in plan for s in p * t) == sorted(sizes)
+        assert sum(t for _, t in packing.best_fit(np.bincount(sizes, minlength=61), 60)) >= 5
+
+
 def test_packing_of_thousands_of_null_texts(spark):
     rows = [(k, None, "en", "s", None) for k in range(3000)] + [(5000, "", "en", "s", None), (5001, "one two", "en", "s", None)]
     got = packing.pack(spark.createDataFrame(rows, DOCS), queries.tokenizer_path()).collect()

@@ -73,7 +73,7 @@ def blocks_of(fingerprint: Column, radius: int) -> Column:
 
 
 def _hits(docs: DataFrame, items: DataFrame, width: int, similarity: float, radius: int, bound: int) -> DataFrame:
-    """Hits of items whose shingles have `width` words."""
+    """Hits of items whose shingles have `width` words; `item` is an item's own key, as its id may be null or repeated."""
     probes = items.select("item_id", "n", F.posexplode("shingles").alias("at", "h"))
     size = probes.count()
     places = docs.select("doc_id", F.posexplode(shingles_of(F.col("words"), width)).alias("place", "h"))
@@ -94,20 +94,20 @@ def _hits(docs: DataFrame, items: DataFrame, width: int, similarity: float, radi
     )
     windows = windows.withColumn("shingles", shingles_of(F.slice("words", F.col("start") + 1, F.col("n")), width)).drop("words")
     windows = settle(windows.where(F.size("shingles") > 0).withColumn("fingerprint", simhash(F.col("shingles"))), "windows")
-    index = items.select("item_id", "n", "fingerprint", F.explode(blocks_of(F.col("fingerprint"), radius)).alias("b"))
-    index = index.select("item_id", "n", F.col("fingerprint").alias("item_fingerprint"), "b.block", "b.bits")
+    index = items.select("item", "n", "fingerprint", F.explode(blocks_of(F.col("fingerprint"), radius)).alias("b"))
+    index = index.select("item", "n", F.col("fingerprint").alias("item_fingerprint"), "b.block", "b.bits")
     asked = windows.select("n", "fingerprint", F.explode(blocks_of(F.col("fingerprint"), radius)).alias("b")).select("n", "fingerprint", "b.block", "b.bits").distinct()
     near = (
         asked.join(index, ["n", "block", "bits"])
         .withColumn("distance", F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))))
         .where(F.col("distance") <= radius)
-        .select("n", "fingerprint", "item_id", "distance")
+        .select("n", "fingerprint", "item", "distance")
         .distinct()
     )
-    sources = items.select("item_id", "n", F.col("shingles").alias("item_shingles"))
+    sources = items.select("item", "item_id", F.col("shingles").alias("item_shingles"))
     return (
         windows.join(near, ["n", "fingerprint"])
-        .join(sources, ["item_id", "n"])
+        .join(sources, "item")
         .withColumn("similarity", weighted_similarity(F.col("shingles"), F.col("item_shingles")))
         .where(F.col("similarity") >= similarity)
         .select("doc_id", "item_id", "start", F.col("n").alias("n_words"), "distance", "similarity")
@@ -131,7 +131,7 @@ def find_passages(
     `start` is a word's number from 0; among equal windows the first one counts. Items of fewer
     than `width` words have one shingle of all their words; items without words, null ones too,
     match nothing. A null text has no window. Rows with one id are searched one by one and give
-    one row together, also those with a null id; items with one id count as one row each way.
+    one row together, also those with a null id; items with one id, or none, count as one row each way.
     Other columns are ignored. Empty tables give an empty result.
     """
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), words_of(text_of(text)).alias("words"))
@@ -139,12 +139,12 @@ def find_passages(
     items = items.withColumn("n", F.size("words")).where("n > 0").withColumn("width", F.least("n", F.lit(width)))
     found = None
     for w in sorted(r[0] for r in items.select("width").distinct().collect()):  # at most `width` of them
-        sized = items.where(F.col("width") == w).withColumn("shingles", shingles_of(F.col("words"), w))
+        sized = items.where(F.col("width") == w).withColumn("shingles", shingles_of(F.col("words"), w)).withColumn("item", F.monotonically_increasing_id())
         sized = settle(sized.withColumn("fingerprint", simhash(F.col("shingles"))).drop("words", "width"), "benchmark-items")
         hits = _hits(texts, sized, w, similarity, radius, bound)
         found = hits if found is None else found.unionAll(hits)
     if found is None:
-        found = _hits(texts.limit(0), items.withColumn("shingles", shingles_of(F.col("words"), width)).withColumn("fingerprint", F.lit(0).cast("long")), width, similarity, radius, bound)
+        found = _hits(texts.limit(0), items.withColumn("item", F.lit(0).cast("long")).withColumn("shingles", shingles_of(F.col("words"), width)).withColumn("fingerprint", F.lit(0).cast("long")), width, similarity, radius, bound)
     best = F.struct(F.col("similarity"), (-F.col("start")).alias("back"), F.col("n_words"), F.col("distance"))
     best_rows = found.groupBy("doc_id", "item_id").agg(F.max(best).alias("b"))
     return best_rows.select(

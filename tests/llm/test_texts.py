@@ -345,6 +345,16 @@ def test_decontamination_keeps_clean_rows_without_an_id(spark, tmp_path):
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[2], rows[4], rows[5]], key=str)
 
 
+def test_passages_of_benchmark_rows_without_an_id(spark, tmp_path):
+    items = [(None, "the quick brown fox jumps over the lazy dog and so on"), (None, "quite another text of as many words as the first one"), (1, "one two three four five six seven")]
+    rows = [(1, f"before it {items[0][1]} after"), (2, "clean text of some words"), (3, f"{items[1][1]} after"), (4, items[2][1])]
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_passages(docs, bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.start, r.similarity) for r in found) == [(1, None, 2, 1.0), (3, None, 0, 1.0), (4, 1, 0, 1.0)]
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [r.doc_id for r in corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).collect()] == [2]
+
+
 def test_suffix_query_digests(spark):
     got = queries.op7_suffixes(spark, TABLES).collect()
     rows = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text").collect()

@@ -3,9 +3,9 @@
 A passage is a window of as many words as a benchmark item. Windows get SimHash fingerprints of
 their weighted shingles; blocks of the fingerprint's bits index them so that every item within the
 radius is met (radius + 1 blocks: one of them is equal), and the exact weighted similarity of the
-shingles decides. A window that shares no shingle with any item has similarity 0, so only windows
-in line with a shared shingle are fingerprinted: a window starts where the item would start if
-their shared shingle stood at the same place in both.
+shingles decides. A window at the similarity shares a known number of shingles with the item, in
+any order, so all windows that hold so many places of shared shingles are fingerprinted, and no
+others.
 """
 
 from __future__ import annotations
@@ -61,6 +61,23 @@ def weighted_similarity(a: Column, b: Column) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
+def starts_of(places: Column, n: Column, size: Column, width: int, similarity: float) -> Column:
+    """Starts of all windows of `n` words, in a text of `size` words, that can reach the similarity.
+
+    `places` are those of the text's shingles that an item of `n` words has too, in rising order.
+    Of a window's a shingles and the item's m at least t(a + m)/(1 + t) must be common, whatever
+    their order; so many places must lie in the window. A text shorter than `n` is one window.
+    """
+    item, window = n - (width - 1), F.least(n, size) - (width - 1)
+    need = F.ceil(similarity * (item + window) / (1 + similarity) - 1e-9).cast("int")
+    last = F.greatest(size - n, F.lit(0))
+    low = lambda i: F.greatest(F.get(places, i + need - 1) - window + 1, F.lit(0))
+    high = lambda i: F.least(F.get(places, i), last)
+    none = F.array().cast("array<int>")
+    found = F.transform(F.sequence(F.lit(0), F.size(places) - need), lambda i: F.when(low(i) <= high(i), F.sequence(low(i), high(i))).otherwise(none))
+    return F.when(F.size(places) >= need, F.array_distinct(F.flatten(found))).otherwise(none)
+
+
 def blocks_of(fingerprint: Column, radius: int) -> Column:
     """(number, bits) of the radius + 1 blocks of a fingerprint."""
     cuts = [64 * k // (radius + 1) for k in range(radius + 2)]
@@ -74,24 +91,20 @@ def blocks_of(fingerprint: Column, radius: int) -> Column:
 
 def _hits(docs: DataFrame, items: DataFrame, width: int, similarity: float, radius: int, bound: int) -> DataFrame:
     """Hits of items whose shingles have `width` words; `item` is an item's own key, as its id may be null or repeated."""
-    probes = items.select("item_id", "n", F.posexplode("shingles").alias("at", "h"))
+    probes = items.select("item", "n", F.explode(F.array_distinct("shingles")).alias("h"))
     size = probes.count()
-    places = docs.select("doc_id", F.posexplode(shingles_of(F.col("words"), width)).alias("place", "h"))
+    places = docs.select("doc_id", F.size("words").alias("size"), F.posexplode(shingles_of(F.col("words"), width)).alias("place", "h"))
     if size <= bound:
         met = places.join(F.broadcast(probes), "h")
     else:  # as many passes as it takes, each beside a bounded part of the shingles
         parts = -(-size // bound)
         part = F.pmod(F.col("h"), F.lit(parts))
         met = reduce(DataFrame.unionAll, [places.join(F.broadcast(probes.where(part == k)), "h") for k in range(parts)])
-    starts = settle(met.select("doc_id", "n", F.greatest(F.col("place") - F.col("at"), F.lit(0)).alias("start")).distinct(), "window-starts")
+    shared = met.groupBy("doc_id", "size", "item", "n").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    starts = shared.select("doc_id", "size", "n", F.explode(starts_of(F.col("places"), F.col("n"), F.col("size"), width, similarity)).alias("start"))
+    starts = settle(starts.distinct(), "window-starts")
     texts = docs.withColumnRenamed("doc_id", "__id")
-    windows = texts.join(starts, F.col("__id").eqNullSafe(F.col("doc_id"))).select(
-        "doc_id",
-        "n",
-        # A window that would reach beyond the text is moved back; a shorter text is one window.
-        F.greatest(F.least("start", F.size("words") - F.col("n")), F.lit(0)).alias("start"),
-        "words",
-    )
+    windows = texts.join(starts, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.size("words") == F.col("size"))).select("doc_id", "n", "start", "words")
     windows = windows.withColumn("shingles", shingles_of(F.slice("words", F.col("start") + 1, F.col("n")), width)).drop("words")
     windows = settle(windows.where(F.size("shingles") > 0).withColumn("fingerprint", simhash(F.col("shingles"))), "windows")
     index = items.select("item", "n", "fingerprint", F.explode(blocks_of(F.col("fingerprint"), radius)).alias("b"))

@@ -345,6 +345,18 @@ def test_decontamination_keeps_clean_rows_without_an_id(spark, tmp_path):
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[2], rows[4], rows[5]], key=str)
 
 
+def test_passages_with_swapped_halves(spark, tmp_path):
+    words = [f"word{k}" for k in range(50)]
+    swapped, filler = words[25:] + words[:25], [f"other{k}" for k in range(40)]
+    rows = [(1, " ".join([*filler, *swapped, *filler])), (2, " ".join(swapped)), (3, " ".join(filler)), (4, " ".join(words[:46])), (5, " ".join([*filler, *words[4:]]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(words))], "item_id long, text string")
+    got = sorted((r.doc_id, r.start, round(r.similarity, 6)) for r in decontaminate.find_passages(docs, bench).collect())
+    assert got == [(1, 40, 0.84), (2, 0, 0.84), (4, 0, round(42 / 46, 6)), (5, 36, round(42 / 50, 6))]
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert [r.doc_id for r in corpus_pipeline.without_benchmark(spark, docs, str(tmp_path)).collect()] == [3]
+
+
 def test_passages_of_benchmark_rows_without_an_id(spark, tmp_path):
     items = [(None, "the quick brown fox jumps over the lazy dog and so on"), (None, "quite another text of as many words as the first one"), (1, "one two three four five six seven")]
     rows = [(1, f"before it {items[0][1]} after"), (2, "clean text of some words"), (3, f"{items[1][1]} after"), (4, items[2][1])]

@@ -5,9 +5,9 @@ writer writes the files: it takes the bytes as they are and ends each value with
 which the member's own last byte stands in. That byte is the top one of the member's length and
 zero below 16 MiB; a longer record is cut into several members, as gzip allows.
 
-The reader checks members, version lines, lengths and digests. After a failed check it looks for
-the next member that inflates, or for the next version line in a plain file, goes on from there,
-and reports the bytes between as quarantined.
+The reader checks members, version lines, lengths and digests. After a failed check it goes on from
+the next member that inflates or the next version line, whichever comes first, and reports the
+bytes between as quarantined. Records that a damaged member inflates before it fails are kept.
 """
 
 from __future__ import annotations
@@ -123,43 +123,97 @@ def _plain(data: bytes, base: int, out: Salvaged) -> None:
         at = end
 
 
-def _inflate(data: bytes, at: int) -> tuple[bytes, int] | None:
-    """A whole member that starts at `at`, and its end; None if it is damaged or cut off."""
+def _inflate(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the member that starts at `at` holds, where it ends, and "whole", "cut off" or "damaged".
+
+    Of a member that is not whole, all that inflates comes, up to the byte that fails.
+    """
     opened, got = zlib.decompressobj(31), []
-    try:
-        while at < len(data) and not opened.eof:
+    while at < len(data) and not opened.eof:
+        before = opened.copy()
+        try:
             got.append(opened.decompress(data[at : at + READ_BYTES]))
-            at += READ_BYTES
-    except zlib.error:
-        return None
-    return (b"".join(got), min(at, len(data)) - len(opened.unused_data)) if opened.eof else None
+        except zlib.error:
+            try:
+                for k in range(at, at + READ_BYTES):
+                    got.append(before.decompress(data[k : k + 1]))
+                    at = k + 1
+            except zlib.error:
+                pass
+            return b"".join(got), at, "damaged"
+        at += READ_BYTES
+    return b"".join(got), min(at, len(data)) - len(opened.unused_data), "whole" if opened.eof else "cut off"
+
+
+def _leading(data: bytes, state: str) -> Salvaged:
+    """Records in what a member that is not whole did inflate.
+
+    A record that ends where the inflated bytes end is not one of them, as the member's check of
+    it is missing. Damaged bytes may inflate to wrong ones, so a digest must tell that they did not.
+    """
+    out, at = Salvaged(), 0
+    while at < len(data):
+        try:
+            headers, block, end = _parse(data, at)
+        except ValueError:
+            following = _LINE.search(data, at + 1)
+            at = following.start() if following else len(data)
+            continue
+        if end < len(data) and (state == "cut off" or headers.get("warc-block-digest", "").startswith("sha1:")):
+            out.records.append((headers, block))
+        at = end
+    return out
+
+
+def _next(data: bytes, member: int, line: int) -> int:
+    """The first member from `member` on that is whole or begins with a record, or version line from `line` on."""
+    found = _LINE.search(data, line)
+    stop = found.start() if found else len(data)
+    at = data.find(GZIP, member, stop)
+    while at >= 0:
+        got, _, state = _inflate(data, at)
+        if state == "whole" or _LINE.match(got):
+            return at
+        at = data.find(GZIP, at + 1, stop)
+    return stop
 
 
 def salvage(data: bytes) -> Salvaged:
-    """All records of a file, plain or of gzip members, that pass their checks."""
+    """All records of a file that pass their checks: plain ones, those in gzip members, and both mixed."""
     out = Salvaged()
     member, line = data.find(GZIP), _LINE.search(data)
-    if line and (member < 0 or line.start() < member):
-        _plain(data, 0, out)
-        return out
+    plain = bool(line) and (member < 0 or line.start() < member)
     at, start, held = 0, 0, b""  # held: bytes of a record that began at `start` and goes on
     while at < len(data):
-        found = _inflate(data, at) if data.startswith(GZIP, at) else None
-        if found is None:
-            if held:
-                out.gaps.append((start, at, "a record without its end"))
+        got, end, state = _inflate(data, at) if data.startswith(GZIP, at) else (b"", at, "none")
+        if held and (state == "none" or _LINE.match(got)):
+            out.gaps.append((start, at, "a record without its end"))
+            held = b""
+        if state != "whole":
+            failed, inner = end, Salvaged()
+            why = "no version line" if plain else "no valid member"
+            if state != "none":
+                inner, why = _leading(held + got, state), "no valid member"
+                out.records += inner.records
+                if held and not inner.records:
+                    out.gaps.append((start, at, "a record without its end"))
                 held = b""
-            end = data.find(GZIP, at + 1)
-            while end >= 0 and _inflate(data, end) is None:
-                end = data.find(GZIP, end + 1)
-            end = len(data) if end < 0 else end
-            out.gaps.append((at, end, "no valid member"))
+            elif _LINE.match(data, at):
+                plain = True
+                try:
+                    headers, block, end = _parse(data, at)
+                except ValueError as reason:
+                    why = str(reason)
+                else:
+                    out.records.append((headers, block))
+                    at = end
+                    continue
+            # Records that were read from a member are not sought again in its bytes.
+            end = _next(data, at + 1, max(failed, at + 1) if inner.records else at + 1)
+            out.gaps.append((at, end, why))
             at = end
             continue
-        got, end = found
-        if held and _LINE.match(got):
-            out.gaps.append((start, at, "a record without its end"))
-            held = b""
+        plain = False
         if not held:
             start = at
         held += got
@@ -169,14 +223,14 @@ def salvage(data: bytes) -> Salvaged:
         except ValueError as why:
             if str(why) in ("a wrong length", "headers without an end") and len(got) == MEMBER_BYTES:
                 continue  # the record may go on in the next member
-            out.gaps.append((start, end, str(why)))
+            stop = 0
         else:
             out.records.append((headers, block))
-            if stop < len(held):  # further records in the same member
-                inner = Salvaged()
-                _plain(held[stop:], 0, inner)
-                out.records += inner.records
-                out.gaps += [(start, end, why) for *_, why in inner.gaps]
+        if stop < len(held):  # further records in the same member, or after one that fails
+            inner = Salvaged()
+            _plain(held[stop:], 0, inner)
+            out.records += inner.records
+            out.gaps += [(start, end, why) for *_, why in inner.gaps]
         held = b""
     if held:
         out.gaps.append((start, len(data), "a record without its end"))

@@ -83,3 +83,22 @@ def test_salvage_of_damaged_archives():
     got = warc.salvage(plain[:at] + b"P" + plain[at + 1 :])
     assert ids(got) == [0, 1, 2, 4, 5] and got.gaps[0][2] == "a wrong digest"
     assert warc.salvage(b"").records == [] and warc.salvage(b"junk").gaps == [(0, 4, "no valid member")]
+
+
+def test_salvage_of_mixed_and_cut_archives():
+    made = [warc.record(k, f"http://{k}", random.Random(k).randbytes(3000), None, "2024-01-01T00:00:00Z") for k in range(8)]
+    ids = lambda got: [warc._page(h["warc-record-id"]) for h, _ in got.records]
+    packed = [warc.members(r) for r in made]
+    mixed = packed[0] + made[1] + made[2] + packed[3] + packed[4] + made[5]
+    assert ids(warc.salvage(mixed)) == [0, 1, 2, 3, 4, 5] and not warc.salvage(mixed).gaps
+    hurt = b"?" + warc.record(0, "http://0", b"x" + warc.GZIP + b"y" * 50, None, "2024-01-01T00:00:00Z")[1:]
+    got = warc.salvage(hurt + made[1] + made[2])
+    assert ids(got) == [1, 2] and [g[:2] for g in got.gaps] == [(0, len(hurt))]
+    one = warc.members(b"".join(made))
+    got = warc.salvage(one[: len(one) * 5 // 8])
+    assert ids(got) == [0, 1, 2, 3, 4][: len(got.records)] and len(got.records) >= 4 and [g[:2] for g in got.gaps] == [(0, len(one) * 5 // 8)]
+    at = len(one) * 5 // 8
+    got = warc.salvage(one[:at] + b"\xff" * 300 + one[at + 300 :] + packed[6] + made[7])
+    assert ids(got)[:4] == [0, 1, 2, 3] and ids(got)[-2:] == [6, 7] and len(set(ids(got))) == len(ids(got))
+    wrong = b"".join(made[:2]).replace(b"Block-Digest: sha1:", b"Block-Digest: sha1:2", 1) + made[2]
+    assert ids(warc.salvage(warc.members(wrong))) == [1, 2]

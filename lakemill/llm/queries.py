@@ -48,7 +48,7 @@ def op3_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_token_files(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    stored = token_files.write(docs, tokenizer_path())
+    stored = token_files.write(docs, tokenizer_path(), unnamed=True)
     return token_files.read(spark, stored).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

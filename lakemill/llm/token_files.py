@@ -9,7 +9,8 @@ order of their ids:
     its frame in the body (u64, u32); then the body: a zstandard frame for each document, made with
     the shared dictionary, of its ids as little-endian unsigned 32-bit numbers.
 
-All numbers are little-endian. A reader finds a document in the index and inflates that frame
+Documents without an id come after all others, in files and segments of their own with the magic
+"LMTOK1\\n\\1". All numbers are little-endian. A reader finds a document in the index and inflates that frame
 alone. The dictionary is trained on id arrays of a bounded sample and stored once beside the
 files. Files are written and read by Spark's own sources, so any store that Spark reaches will do.
 """
@@ -33,6 +34,8 @@ from lakemill.llm.tokens import END_ID, Encoder
 from lakemill.session import fresh_folder, settle
 
 MAGIC = b"LMTOK1\n\x00"
+#: Begins a segment of documents without an id, whose index entries have 0 in its place.
+UNNAMED = b"LMTOK1\n\x01"
 HEAD = struct.Struct("<8s32sIQI")
 ENTRY = np.dtype([("doc_id", "<i8"), ("start", "<u8"), ("n", "<u4"), ("offset", "<u8"), ("size", "<u4")])
 LEVEL = 3
@@ -69,27 +72,27 @@ def train_dictionary(docs: DataFrame, tokenizer: str, text: str = "text") -> byt
         return common.astype("<u4").tobytes()
 
 
-def _segment(dictionary_hash: bytes, entries: list[tuple[int, int, int]], frames: list[bytes]) -> bytes:
+def _segment(dictionary_hash: bytes, entries: list[tuple[int, int, int]], frames: list[bytes], magic: bytes = MAGIC) -> bytes:
     index = np.zeros(len(entries), ENTRY)
     sizes = np.array([len(f) for f in frames], np.int64)
     for name, values in zip(("doc_id", "start", "n"), zip(*entries)):
         index[name] = values
     index["offset"], index["size"] = np.cumsum(sizes) - sizes, sizes
     raw = index.tobytes()
-    return HEAD.pack(MAGIC, dictionary_hash, len(entries), int(sizes.sum()), zlib.crc32(raw)) + raw + b"".join(frames)
+    return HEAD.pack(magic, dictionary_hash, len(entries), int(sizes.sum()), zlib.crc32(raw)) + raw + b"".join(frames)
 
 
-def segments(data: bytes) -> Iterator[tuple[bytes, np.ndarray, memoryview]]:
-    """(dictionary hash, index, body) of each segment of a file."""
+def segments(data: bytes) -> Iterator[tuple[bytes, np.ndarray, memoryview, bool]]:
+    """(dictionary hash, index, body, if its documents have ids) of each segment of a file."""
     at, view = 0, memoryview(data)
     while at < len(data):
         magic, dictionary_hash, n, size, crc = HEAD.unpack_from(data, at)
         at += HEAD.size
         raw = view[at : at + n * ENTRY.itemsize]
-        if magic != MAGIC or zlib.crc32(raw) != crc or at + len(raw) + size >= len(data):
+        if magic not in (MAGIC, UNNAMED) or zlib.crc32(raw) != crc or at + len(raw) + size >= len(data):
             raise ValueError(f"damaged token file before byte {at}")
         at += len(raw)
-        yield dictionary_hash, np.frombuffer(raw, ENTRY), view[at : at + size]
+        yield dictionary_hash, np.frombuffer(raw, ENTRY), view[at : at + size], magic == MAGIC
         at += size + 1  # the newline
 
 
@@ -99,9 +102,11 @@ def _decompressor(dictionary: bytes) -> zstandard.ZstdDecompressor:
 
 def read_document(data: bytes, dictionary: bytes, doc_id: int) -> np.ndarray | None:
     """The ids of one document of a file, from its frame alone; None if the file has no such."""
-    for used, index, body in segments(data):
+    for used, index, body, named in segments(data):
         if used != hashlib.sha256(dictionary).digest():
             raise ValueError("written with another dictionary")
+        if not named:
+            continue
         k = int(np.searchsorted(index["doc_id"], doc_id))
         if k < len(index) and index["doc_id"][k] == doc_id:
             frame = body[index["offset"][k] : index["offset"][k] + index["size"][k]]
@@ -114,11 +119,12 @@ def _raw(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).cast("string").alias("value")).write.text(path)
 
 
-def write(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES) -> TokenFiles:
+def write(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES, unnamed: bool = False) -> TokenFiles:
     """Encodes every whole text (null: empty) and writes it, with the end id, in ascending id order.
 
     Repeated ids stand side by side, ordered by their ids' bytes. A row with a null id cannot be
-    addressed in the index: such rows are refused. An empty table writes no segment.
+    found by it: such rows are refused, or with `unnamed` written after all others, in files by a
+    hash of their frames. An empty table writes no segment.
     """
     spark = prepare(docs.sparkSession)
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text).alias("text"))
@@ -129,7 +135,7 @@ def write(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "
         encoder = Encoder(tokenizer)
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=True)
         for b in batches:
-            if b.column(0).null_count:
+            if b.column(0).null_count and not unnamed:
                 raise ValueError("a document without an id")
             ids = encoder.encode(b.column(1).to_pylist(), END_ID)
             frames = [packer.compress(x.astype("<u4").tobytes()) for x in ids]
@@ -139,43 +145,44 @@ def write(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "
             )
 
     framed = settle(source.mapInArrow(encode, "doc_id long, n long, frame binary"), "token-frames")
-    size = framed.agg(F.sum(F.octet_length("frame"))).first()[0] or 0
-    files = max(1, -(-size // file_bytes))
+    sizes = {r[0]: r[1] or 0 for r in framed.groupBy(F.col("doc_id").isNull()).agg(F.sum(F.octet_length("frame"))).collect()}  # at most two
+    files, apart = max(1, -(-sizes.get(False, 0) // file_bytes)), max(1, -(-sizes.get(True, 0) // file_bytes))
     # The range of each file, found once; then every row's file is a plain function of its id.
     bounds = framed.stat.approxQuantile("doc_id", [k / files for k in range(1, files)], 0.2 / files) if files > 1 else []
     cuts = sorted({int(x) for x in bounds})
     file = F.aggregate(F.array(*[F.lit(c) for c in cuts]).cast("array<long>"), F.lit(0), lambda n, c: n + (F.col("doc_id") > c).cast("int"))
-    placed = framed.withColumn("file", file if cuts else F.lit(0))
+    after = F.lit(len(cuts) + 1) + F.pmod(F.xxhash64("frame"), F.lit(apart)).cast("int")
+    placed = framed.withColumn("file", F.when(F.col("doc_id").isNull(), after).otherwise(file if cuts else F.lit(0)))
     totals = placed.groupBy("file").agg(F.sum("n").alias("n"))
     before = totals.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
     ordered = placed.join(F.broadcast(before), "file").select("file", "before", "doc_id", "n", "frame")  # one row a file
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        file, start, entries, frames, held = None, 0, [], [], 0
+        file, start, entries, frames, held, magic = None, 0, [], [], 0, MAGIC
         for b in batches:
             for f, before, doc, n, frame in zip(*[c.to_pylist() for c in b.columns]):
                 if f != file or held >= SEGMENT_BYTES or len(frames) >= SEGMENT_ROWS:
                     if frames:
-                        yield pa.RecordBatch.from_arrays([pa.array([_segment(digest, entries, frames)], pa.binary())], names=["segment"])
+                        yield pa.RecordBatch.from_arrays([pa.array([_segment(digest, entries, frames, magic)], pa.binary())], names=["segment"])
                     entries, frames, held = [], [], 0
                     if f != file:
-                        file, start = f, before
-                entries.append((doc, start, n))
+                        file, start, magic = f, before, MAGIC if f <= len(cuts) else UNNAMED
+                entries.append((0 if doc is None else doc, start, n))
                 frames.append(frame)
                 start += n
                 held += len(frame)
         if frames:
-            yield pa.RecordBatch.from_arrays([pa.array([_segment(digest, entries, frames)], pa.binary())], names=["segment"])
+            yield pa.RecordBatch.from_arrays([pa.array([_segment(digest, entries, frames, magic)], pa.binary())], names=["segment"])
 
     out = TokenFiles(fresh_folder(spark, "token-files"), fresh_folder(spark, "token-dictionary"))
-    dealt = ordered.repartition(int(len(cuts) + 1), "file").sortWithinPartitions("file", "doc_id", "frame")
+    dealt = ordered.repartition(len(cuts) + 1 + (apart if True in sizes else 0), "file").sortWithinPartitions("file", "doc_id", "frame")
     _raw(dealt.mapInArrow(lay, "segment binary"), "segment", out.files)
     _raw(spark.createDataFrame([(bytearray(dictionary),)], "value binary").coalesce(1), "value", out.dictionary)
     return out
 
 
 def read(spark: SparkSession, stored: TokenFiles) -> DataFrame:
-    """(doc_id, start, n_tokens, ids) of every document in the files; ids as little-endian u32."""
+    """(doc_id, start, n_tokens, ids) of every document in the files; ids as little-endian u32, doc_id null without one."""
     prepare(spark, 1)  # a row is a whole file
     dictionary = b"".join(bytes(r.content) for r in spark.read.format("binaryFile").load(stored.dictionary).select("content").collect())[:-1]
     digest = hashlib.sha256(dictionary).digest()
@@ -184,7 +191,7 @@ def read(spark: SparkSession, stored: TokenFiles) -> DataFrame:
         inflate = _decompressor(dictionary)
         for b in batches:
             for data in b.column(0):
-                for used, index, body in segments(data.as_buffer().to_pybytes()):
+                for used, index, body, named in segments(data.as_buffer().to_pybytes()):
                     if used != digest:
                         raise ValueError("written with another dictionary")
                     for lo in range(0, len(index), 512):
@@ -194,7 +201,7 @@ def read(spark: SparkSession, stored: TokenFiles) -> DataFrame:
                             raise ValueError("a document's length differs from the index")
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array(part["doc_id"].astype(np.int64)),
+                                pa.array(part["doc_id"].astype(np.int64)) if named else pa.nulls(len(part), pa.int64()),
                                 pa.array(part["start"].astype(np.int64)),
                                 pa.array(part["n"].astype(np.int64)),
                                 pa.array(ids, pa.binary()),

@@ -193,6 +193,23 @@ def test_token_files_round_trip(spark, docs):
         token_files.write(docs, queries.tokenizer_path())
 
 
+def test_token_files_of_rows_without_an_id(spark, tmp_path):
+    rows = [(1, "one two"), (None, "three"), (None, None), (-5, "four five"), (0, "zero"), (None, "three")]
+    rows += [(None, f"text number {k} " * 40) for k in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    stored = token_files.write(spark.read.parquet(f"{tmp_path}/documents.parquet"), queries.tokenizer_path(), file_bytes=500, unnamed=True)
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    got = sorted(((r.doc_id, bytes(r.ids), r.start, r.n_tokens) for r in token_files.read(spark, stored).collect()), key=key)
+    want = [(r[0], np.array(ids, "<u4").tobytes()) for r, ids in zip(rows, plain_ids([t for _, t in rows]))]
+    assert [r[:2] for r in got] == sorted(want, key=key)
+    assert [r[0] for r in sorted(got, key=lambda r: r[2])] == [-5, 0, 1] + [None] * 63
+    ends = 0
+    for r in sorted(got, key=lambda r: r[2]):
+        assert r[2] == ends
+        ends += r[3]
+    assert queries.queries()["op4_token_files"](spark, str(tmp_path)).where("doc_id IS NULL").count() == 63
+
+
 def test_packing_keeps_every_token_once(spark, docs):
     packed = packing.pack(docs, queries.tokenizer_path()).collect()
     key = lambda r: (r[0] is None, r[0] or 0, r[1])

@@ -118,6 +118,22 @@ def test_suffix_dedup_against_all_windows(spark, docs, frequent):
     assert got == brute_repeats(made())
 
 
+def test_suffix_dedup_of_rows_without_an_id_and_of_one_id(spark, monkeypatch):
+    rnd = random.Random(6)
+    shared = ["".join(rnd.choice("abcdef ") for _ in range(70)) for _ in range(3)]
+    text = lambda k: "".join(rnd.choice("ghijkl ") for _ in range(150)) + shared[k % 3] + str(k)
+    rows = [(i, text(k), "en", "s", None) for k, i in enumerate([None] * 60 + [7] * 60 + list(range(20)))]
+    rows += [(None, rows[0][1], "en", "s", None), (7, rows[60][1], "en", "s", None), (50, rows[70][1], "en", "s", None), (None, rows[125][1], "en", "s", None)]
+    stored = []
+    fresh = suffixes.fresh_folder
+    monkeypatch.setattr(suffixes, "fresh_folder", lambda s, name: stored.append((name, fresh(s, name))) or stored[-1][1])
+    found = suffixes.remove_repeats(spark.createDataFrame(rows, DOCS).repartition(3), shard_bytes=2_000, bin_bytes=2_000).collect()
+    got = sorted((2**63 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in found)
+    assert got == brute_repeats(rows)
+    texts = spark.read.parquet(next(path for name, path in stored if name == "texts"))
+    assert texts.groupBy("shard").count().agg(F.max("count")).first()[0] < 30  # 61 rows each have no id and the id 7
+
+
 def test_passages_against_all_windows(spark, docs):
     rnd = random.Random(5)
     texts = [t for _, t, *_ in made() if t and len(t.split()) > 40][:4]

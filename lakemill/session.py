@@ -58,3 +58,13 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     path = fresh_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the folder of a settled frame that nothing reads any more; other frames are left alone."""
+    spark = df.sparkSession
+    files = df.inputFiles()
+    folder = files[0].rpartition("/")[0] if files else ""
+    if "/lakemill/" in folder and folder.partition("/lakemill/")[0].endswith(scratch_root(spark).rpartition(":")[2]):
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

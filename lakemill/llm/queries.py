@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemill.llm import decontaminate, licenses, packing, quality, simhash, suffixes, token_files, toxicity, vectors, warc
+from lakemill.llm import codes, decontaminate, licenses, packing, quality, search, simhash, suffixes, token_files, toxicity, vectors, warc, windows
 from lakemill.llm.common import fold
 from lakemill.session import settle, tune
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 POSITIVE = 0.3
 
 
@@ -81,6 +82,27 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_codes(spark: SparkSession, folder: str) -> DataFrame:
+    found = codes.encode(_table(spark, folder, "embeddings"))
+    columns = "vec_id long, code string, error long, label_error long, codebooks_sha256 string"
+    if found is None:
+        return spark.createDataFrame([], columns)
+    rows = found.rows
+    totals = rows.groupBy(F.col("label").alias("l")).agg(F.sum("error").alias("label_error"))
+    digits = F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0")))
+    joined = rows.join(totals, F.col("label").eqNullSafe(F.col("l")))
+    return joined.select("vec_id", F.array_join(digits, "").alias("code"), "error", "label_error", F.lit(found.books.digest()).alias("codebooks_sha256"))
+
+
+def op12_search(spark: SparkSession, folder: str) -> DataFrame:
+    return search.search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op13_windows(spark: SparkSession, folder: str) -> DataFrame:
+    found = windows.pack(_table(spark, folder, "documents"), tokenizer_path(WORD_TOKENIZER))
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def _license_sql() -> str:
     """Units, sets of bigrams and the coefficient, written in SQL."""
     quoted = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(licenses.TEMPLATES.items()))
@@ -157,6 +179,60 @@ WARC_SQL = """
     """
 
 
+def _codes_sql() -> str:
+    """Four rounds of assignment and means, one after the other, on lists of whole numbers in doubles."""
+
+    def nearest(k: int) -> str:
+        return f"""a{k} AS MATERIALIZED (
+          SELECT vec_id, label, p, x, min_by(entry, (d, entry)) AS entry, min(d) AS d FROM (
+            SELECT v.*, b.entry, list_dot_product(v.x, v.x) - 2 * list_dot_product(v.x, b.x) + list_dot_product(b.x, b.x) AS d
+            FROM parts v JOIN b{k} b USING (p)) GROUP BY vec_id, label, p, x)"""
+
+    def means(k: int) -> str:
+        return f"""m{k} AS (
+          SELECT p, entry, list(m ORDER BY i) AS x FROM (
+            SELECT p, entry, i, floor(sum(x[i + 1]) / count(*)) AS m FROM a{k}, (SELECT unnest(range((SELECT any_value(len(x)) FROM parts))) AS i)
+            GROUP BY p, entry, i) GROUP BY p, entry),
+        b{k + 1} AS MATERIALIZED (SELECT p, entry, coalesce(m.x, b.x) AS x FROM b{k} b LEFT JOIN m{k} m USING (p, entry))"""
+
+    rounds = ", ".join(f"{nearest(k)}, {means(k)}" for k in range(codes.ROUNDS))
+    return f"""
+    WITH v AS (
+      SELECT vec_id, label, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor({codes.SCALE} * x)) AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    parts AS MATERIALIZED (
+      SELECT vec_id, label, p, e[p * len(e) // {codes.PARTS} + 1 : (p + 1) * len(e) // {codes.PARTS}] AS x
+      FROM v, (SELECT unnest(range({codes.PARTS})) AS p)),
+    seeds AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v ORDER BY vec_id LIMIT {codes.ENTRIES}),
+    b0 AS MATERIALIZED (SELECT p, entry, x FROM seeds JOIN parts USING (vec_id)),
+    {rounds}, {nearest(codes.ROUNDS)},
+    digest AS (SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY p, entry, i)) AS h FROM (
+      SELECT p, entry, unnest(x) AS c, unnest(range(len(x))) AS i FROM b{codes.ROUNDS})),
+    coded AS (
+      SELECT vec_id, label, string_agg(lower(printf('%02x', entry)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+      FROM a{codes.ROUNDS} GROUP BY vec_id, label)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM coded, digest
+    """
+
+
+SEARCH_SQL = r"""
+    WITH signs AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' AS term),
+    d AS (SELECT doc_id, regexp_extract_all(translate(text, upper, lower), term) AS w FROM documents, signs WHERE text IS NOT NULL),
+    facts AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+    asked AS (
+      SELECT item_id, t, count(*) AS q
+      FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, upper, lower), term)) AS t FROM benchmark, signs) GROUP BY item_id, t),
+    held AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM asked) GROUP BY doc_id, n, t),
+    weight AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, facts GROUP BY t),
+    own AS (
+      SELECT doc_id, t, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // total))) AS s
+      FROM held JOIN weight USING (t), facts),
+    scored AS (SELECT item_id, doc_id, CAST(sum(q * s) AS BIGINT) AS score FROM asked JOIN own USING (t) GROUP BY item_id, doc_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+    SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+    """
+
+
 def queries() -> dict:
     return {
         "op1_simhash": op1_simhash,
@@ -169,8 +245,18 @@ def queries() -> dict:
         "op8_toxicity": op8_toxicity,
         "op9_packing": op9_packing,
         "op10_warc": op10_warc,
+        "op11_codes": op11_codes,
+        "op12_search": op12_search,
+        "op13_windows": op13_windows,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_licenses": _license_sql(), "op6_vectors": VECTOR_SQL, "op7_suffixes": SUFFIX_SQL, "op10_warc": WARC_SQL}
+    return {
+        "op3_licenses": _license_sql(),
+        "op6_vectors": VECTOR_SQL,
+        "op7_suffixes": SUFFIX_SQL,
+        "op10_warc": WARC_SQL,
+        "op11_codes": _codes_sql(),
+        "op12_search": SEARCH_SQL,
+    }

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakemill.sources import records
 
 #: Quotes are doubled within quoted text; blanks stay.
 CSV = {
@@ -23,21 +24,74 @@ READ = {**CSV, "nullValue": "\0", "emptyValue": ""}
 WRITE = {**CSV, "nullValue": "", "emptyValue": '""'}
 
 
-def read_csv(
+MALFORMED = "_malformed"
+
+
+def csv_rows(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, multi_line: bool = True
 ) -> DataFrame:
-    """Typed rows of CSV files; a file whose header names other columns, or in another order, is refused.
+    """Typed rows of CSV files with their lineage (`records.LINEAGE`) and the text of malformed records.
 
-    Quoted text may hold line breaks, so a file is read by one task. `multi_line=False` lets large
-    files without such text be split.
+    Quoted text may hold line breaks. Every file is read by as many tasks as it has splits; where
+    quotes do not stand around whole fields, by one task. `multi_line=False` takes every line for a
+    record, without a look at the quotes. Values go by the header's names, in any order; a header
+    with other names is refused. `MALFORMED` is null but for records with another number of values
+    than their header has names, or with values that are not of their column's type.
     """
-    reader = spark.read.schema(schema).options(**READ, multiLine=multi_line, enforceSchema=False)
-    return reader.csv(path)
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if multi_line:
+        found = records.read_records(spark, path)
+        if found is not None:
+            return records.parsed(found, {f.name: f.dataType.simpleString() for f in schema.fields}, READ, MALFORMED)
+    full = T.StructType([*schema.fields, T.StructField(MALFORMED, T.StringType())])
+    reader = spark.read.schema(full).options(**READ, multiLine=multi_line, enforceSchema=False, columnNameOfCorruptRecord=MALFORMED)
+    return reader.csv(path).select(
+        "*",
+        F.col("_metadata.file_path").alias(records.FILE),
+        F.col("_metadata.file_name").alias(records.NAME),
+        F.col("_metadata.file_block_start").alias(records.SPLIT),
+        F.monotonically_increasing_id().alias(records.PLACE),
+    )
+
+
+def read_csv(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, multi_line: bool = True
+) -> DataFrame:
+    """Typed rows of CSV files, see `csv_rows`; what a malformed record lacks is null."""
+    return csv_rows(spark, path, schema, multi_line).drop(MALFORMED, *records.LINEAGE)
+
+
+#: Texts that stand for a value of the type, and the type itself, the narrowest first.
+INFERRED = {
+    "int": r"[+-]?\d{1,10}",
+    "bigint": r"[+-]?\d{1,19}",
+    "double": r"[+-]?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|NaN|[+-]?Inf",
+    "date": r"\d{4}-\d{2}-\d{2}",
+    "timestamp": r"\d{4}-\d{2}-\d{2}[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:\d{2})?",
+    "boolean": r"(?i)true|false",
+}
+
+
+def inferred_schema(texts: DataFrame) -> T.StructType:
+    """For each column of text the first type that all its values have, text if there is none or no value."""
+    tests = []
+    for k, c in enumerate(texts.columns):
+        value = F.col(f"`{c}`")
+        tests.append(F.count(value).alias(f"n{k}"))
+        for name, pattern in INFERRED.items():
+            fits = value.rlike(f"^({pattern})$") & value.try_cast(name).isNotNull()
+            tests.append(F.count_if(value.isNotNull() & ~fits).alias(f"{name}{k}"))
+    found = texts.agg(*tests).first()
+    types = [next((t for t in INFERRED if found[f"n{k}"] and not found[f"{t}{k}"]), "string") for k in range(len(texts.columns))]
+    return T.StructType.fromDDL(", ".join(f"`{c}` {t}" for c, t in zip(texts.columns, types)))
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+def read_csv_inferred(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:
     """Guesses types by a pass over all rows: for exploration only."""
-    return spark.read.options(**READ, multiLine=True, inferSchema=True).csv(path)
+    texts = read_csv_text(spark, path, multi_line)
+    schema = inferred_schema(texts)
+    return texts.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -45,8 +99,9 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
 
 
 def header_columns(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
-    """Column names from the header line; no data row is read."""
-    return spark.read.options(**READ).csv(path).columns
+    """Column names from the header line, without those of partition folders; no data row is read."""
+    folders = spark.read.text(path).columns[1:]
+    return [c for c in spark.read.options(**READ).csv(path).columns if c not in folders]
 
 
 def read_csv_text(spark: SparkSession, path: str | Sequence[str], multi_line: bool = True) -> DataFrame:

@@ -24,9 +24,12 @@ def test_foreign_csv(spark, tmp_path):
     assert rows == [("1", '[{"name":"Women"}]'), ("2", "a\nb"), ("3", None), ("4", "")]
 
 
-def test_other_column_order_is_refused(spark, tmp_path):
+def test_other_column_order_goes_by_name_and_other_names_are_refused(spark, tmp_path):
     (tmp_path / "a.csv").write_text("id,name\n1,x\n")
     (tmp_path / "b.csv").write_text("name,id\ny,2\n")
+    rows = files.read_csv(spark, str(tmp_path), "id int, name string")
+    assert sorted(map(tuple, rows.collect())) == [(1, "x"), (2, "y")]
+    (tmp_path / "c.csv").write_text("name,key\ny,2\n")
     with pytest.raises(Exception, match="header"):
         files.read_csv_text(spark, str(tmp_path)).collect()
 

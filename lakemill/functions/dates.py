@@ -26,7 +26,9 @@ SECONDS_PER_DAY = 86400
 def has_layout(c: Column, layout: str) -> Column:
     """Whether text has the shape of a layout, its numbers padded or not; spares failed parses."""
     shape = re.sub("([a-zA-Z])\\1*", lambda m: r"\d{4}" if m[0] == "yyyy" else r"\d{1,2}", layout.replace("'T'", "\0"))
-    return c.rlike("^" + shape.replace("\0", "T") + "$")
+    fits = c.rlike("^" + shape.replace("\0", "T") + "$")
+    # A look at one sign spares most of the texts of other layouts the pattern.
+    return (F.substring(c, 5, 1) == layout[4]) & fits if layout.startswith("yyyy") else fits
 
 
 def lenient(layout: str) -> str:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from lakemill.functions import dates, numbers, text
 from lakemill.operators.dedupe import business_columns, named, one_per_key
 from lakemill.operators.quantiles import column_quantiles, exact_quantiles
-from lakemill.operators.rows import beside
+from lakemill.operators.rows import beside, spread
 from lakemill.operators.statistics import group_medians_on_rows
 
 
@@ -249,19 +249,19 @@ def distinct_encounters(
     Equal rows are combined before the shuffle. `order` names the lineage column that picks
     the survivor whose other lineage columns are kept.
     """
-    ready = standardise_encounters(raw, layouts)
+    ready = standardise_encounters(spread(raw), layouts)
     columns = business_columns(ready)
     lineage = [c for c in ready.columns if c not in columns]
     bad_dates = sum((F.col(f"`{c}`").isNull().cast("int") for c in ENCOUNTER_DATES if c in columns), F.lit(0))
-    row = F.struct(*named(lineage))
-    kept = F.first(row) if order is None else F.min_by(row, F.col(order))
+    # Column by column, as a struct or a text among the results would have the rows sorted.
+    kept = [F.first(c) if order is None else F.min_by(c, F.col(order)) for c in named(lineage)]
     groups = ready.groupBy(*named(columns)).agg(
-        kept.alias("_lineage"),
+        *[c.alias(name) for c, name in zip(kept, lineage)],
         F.count(F.lit(1)).alias("_copies"),
         F.sum(bad_dates).alias("_bad_dates"),
         F.count_if(NEGATIVE_BILLING).alias("_negative"),
     )
-    return groups.select(*named(columns), "_lineage.*", "_copies", "_bad_dates", "_negative")
+    return groups.select(*named(columns), *named(lineage), "_copies", "_bad_dates", "_negative")
 
 
 def complete_encounters(distinct: DataFrame) -> DataFrame:

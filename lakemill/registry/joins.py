@@ -146,12 +146,12 @@ def semi(t):
   AS change_type FROM customer""",
 )
 def change_detection(t):
-    """The table holds all segments but one; the batch brings all, one with a new balance."""
+    """Table and batch hold all customers; in the batch one segment has other names, one a new balance."""
     ready = t.customer.withColumn("c_acctbal", money(F.col("c_acctbal")))
+    renamed = F.when(F.col("c_mktsegment") == "BUILDING", F.concat("c_name", F.lit(" II"))).otherwise(F.col("c_name"))
     changed = F.when(F.col("c_mktsegment") == "MACHINERY", F.col("c_acctbal") + 10).otherwise(F.col("c_acctbal"))
     keys, tracked = ["c_custkey", "c_name"], ["c_acctbal", "c_nationkey"]
-    current = last_per_key(ready.filter("c_mktsegment <> 'BUILDING'"), ["c_custkey"], keys, tracked)
-    batch = last_per_key(
-        ready.withColumn("c_acctbal", changed.cast("decimal(12,2)")), ["c_custkey"], keys, tracked
-    )
+    current = last_per_key(ready, ["c_custkey"], keys, tracked)
+    incoming = ready.withColumns({"c_acctbal": changed.cast("decimal(12,2)"), "c_name": renamed})
+    batch = last_per_key(incoming, ["c_custkey"], keys, tracked)
     return classify(batch, current).select("c_custkey", "change_type")

@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from lakemill.functions.keys import md5_key, with_keys
 from lakemill.functions.numbers import money
 from lakemill.operators.rows import beside
-from lakemill.operators.versions import Merge, dense_ids, dimension, merge_versions, place_orders
+from lakemill.operators.versions import Merge, VersionTable, dense_ids, dimension, merge_versions, place_orders
 from lakemill.registry import entry, roles
 from lakemill.registry.sql import big, day, dbl
 from lakemill.session import settle
 
 
 KEYS, TRACKED = ["c_custkey", "c_name"], ["c_acctbal", "c_nationkey", "c_mktsegment"]
-KEY_SQL = "md5(c_custkey || '|' || c_name)"
+KEY_SQL = "md5(c_custkey || '|' || (c_name))"
 HASH_SQL = "md5(CAST({b} AS VARCHAR) || '|' || c_nationkey || '|' || c_mktsegment)"
 BALANCE = "CAST(c_acctbal AS DECIMAL(12,2))"
 
@@ -38,20 +38,25 @@ DAY1, DAY2 = "2024-06-01", "2024-06-02"
 
 
 def first_load(t) -> Merge:
-    """All segments but one."""
-    return merge_versions(None, customers(t).filter("c_mktsegment <> 'BUILDING'"), DAY1, ["c_custkey"], KEYS, TRACKED)
+    """All customers."""
+    return merge_versions(None, customers(t), DAY1, ["c_custkey"], KEYS, TRACKED)
+
+
+#: In the second batch the customers of one segment come under another name, as new ones.
+RENAMED = "CASE WHEN c_mktsegment = 'BUILDING' THEN c_name || ' II' ELSE c_name END"
 
 
 def second_load(t) -> Merge:
-    """The missing segment is new, one comes with a new balance, one comes unchanged."""
-    rows = customers(t).filter("c_mktsegment IN ('BUILDING', 'MACHINERY', 'HOUSEHOLD')")
+    """All customers again: those of one segment are new, one segment has a new balance, the others come unchanged."""
     raised = F.when(F.col("c_mktsegment") == "MACHINERY", F.col("c_acctbal") + 10).otherwise(F.col("c_acctbal"))
-    batch = rows.withColumn("c_acctbal", raised.cast("decimal(12,2)"))
-    return merge_versions(settle(first_load(t).snapshot), batch, DAY2, ["c_custkey"], KEYS, TRACKED)
+    batch = customers(t).withColumns({"c_acctbal": raised.cast("decimal(12,2)"), "c_name": F.expr(RENAMED)})
+    table = VersionTable(t.spark, t.scratch("versions"))
+    table.merge(customers(t), DAY1, ["c_custkey"], KEYS, TRACKED)
+    return table.merge(batch, DAY2, ["c_custkey"], KEYS, TRACKED)
 
 
 FIRST_SQL = f"""first AS (SELECT c_custkey, {BALANCE} AS c_acctbal, {KEY_SQL} AS encounter_key, c_mktsegment,
-  ROW_NUMBER() OVER (ORDER BY c_custkey) AS _scd_surrogate_key FROM customer WHERE c_mktsegment <> 'BUILDING')"""
+  ROW_NUMBER() OVER (ORDER BY c_custkey) AS _scd_surrogate_key FROM customer)"""
 
 
 @entry(
@@ -66,7 +71,7 @@ def initial_versions(t):
 @entry(
     "V04",
     f"""WITH {FIRST_SQL}, added AS (SELECT c_custkey, {BALANCE} + CASE WHEN c_mktsegment = 'MACHINERY' THEN 10 ELSE 0 END AS c_acctbal,
-    {KEY_SQL} AS encounter_key, (SELECT MAX(_scd_surrogate_key) FROM first)
+    {KEY_SQL.replace("c_name", RENAMED)} AS encounter_key, (SELECT MAX(_scd_surrogate_key) FROM first)
       + ROW_NUMBER() OVER (ORDER BY CASE WHEN c_mktsegment = 'BUILDING' THEN 0 ELSE 1 END, c_custkey) AS _scd_surrogate_key
     FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))
   SELECT c_custkey, {dbl("c_acctbal")} AS c_acctbal, encounter_key, '{DAY1}' AS effective_start_date,
@@ -80,7 +85,7 @@ def merged_versions(t):
 @entry(
     "V05",
     """SELECT COUNT(*) FILTER (c_mktsegment = 'BUILDING') AS "new", COUNT(*) FILTER (c_mktsegment = 'MACHINERY') AS changed,
-  COUNT(*) FILTER (c_mktsegment = 'MACHINERY') AS expired, COUNT(*) FILTER (c_mktsegment = 'HOUSEHOLD') AS unchanged FROM customer""",
+  COUNT(*) FILTER (c_mktsegment = 'MACHINERY') AS expired, COUNT(*) FILTER (c_mktsegment NOT IN ('BUILDING', 'MACHINERY')) AS unchanged FROM customer""",
 )
 def merge_statistics(t):
     return second_load(t).statistics()

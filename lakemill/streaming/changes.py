@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lakemill.functions import dates, numbers, text
 from lakemill.functions.keys import md5_key
 from lakemill.operators import audit
+from lakemill.operators.buckets import KeyBuckets
 from lakemill.operators.dedupe import named
 from lakemill.operators.ordered import scan
 from lakemill.plans.marts import billing_by
@@ -144,50 +145,33 @@ def rebuild_history(
     return versions.unionByName(repeats).withColumn("is_current", F.col("is_version") & F.col("end_at").isNull())
 
 
-class VersionStore:
-    """A versioned table as one folder per applied batch, merged when read.
+class VersionStore(KeyBuckets):
+    """A versioned table from changes, in buckets of its key.
 
-    A batch adds the whole history of the keys it touched, so what it writes grows with the
-    batch and not with the table; of several histories of a key the newest holds. After every
-    `compact_every` batches the whole table is written once, and older folders are not read
-    any more. A batch reads only what came before it, so running it again gives the same folder.
-    Rows that made no version stay in the store, for late changes.
+    A batch reads and replaces the buckets of its keys. Rows that made no version stay in the
+    store, for late changes; a change that comes again is the same row and changes nothing.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, key: str, compact_every: int = 20):
-        self.spark, self.folder, self.key, self.compact_every = spark, folder, key, compact_every
-
-    def _folders(self, kind: str, before: int | None) -> list[tuple[int, str]]:
-        found = files.child_paths(self.spark, f"{self.folder}/{kind}")
-        done = [p for p in found if files.path_exists(self.spark, f"{p}/_SUCCESS")]
-        numbers = sorted((int(p.rsplit("=", 1)[1]), p) for p in done)
-        return [(n, p) for n, p in numbers if before is None or n < before]
-
-    def rows(self, before: int | None = None, touched: DataFrame | None = None) -> DataFrame | None:
-        """The newest history of every key, or of the touched keys, before a batch."""
-        base = self._folders("whole", before)[-1:]
-        after = base[0][0] if base else -1
-        folders = base + [(n, p) for n, p in self._folders("batches", before) if n > after]
-        found = None
-        for number, path in folders:
-            part = self.spark.read.parquet(path).withColumn("_batch", F.lit(number))
-            found = part if found is None else found.unionByName(part)
-        if found is None:
-            return None
-        if touched is not None:
-            found = found.join(touched, self.key, "left_semi")
-        if len(folders) > 1:
-            newest = found.groupBy(self.key).agg(F.max("_batch").alias("_batch"))
-            found = found.join(newest, [self.key, "_batch"], "left_semi")
-        return found.drop("_batch")
-
-    def write(self, batch_id: int, rows: DataFrame) -> None:
-        files.write_parquet(rows, f"{self.folder}/batches/batch={batch_id}")
-        if (batch_id + 1) % self.compact_every == 0:
-            files.write_parquet(self.rows(before=batch_id + 1), f"{self.folder}/whole/batch={batch_id}")
-
-    def latest(self) -> DataFrame:
-        return self.rows().filter("is_version").drop("is_version")
+    def latest(self) -> DataFrame | None:
+        found = self.read()
+        return None if found is None else found.filter("is_version").drop("is_version")
+
+    def apply(self, changes: DataFrame, tracked: Sequence[str], sequence: Sequence[str], **options) -> None:
+        """Rebuilds the histories of the keys of `changes`."""
+        columns = list(dict.fromkeys([self.key, *tracked, *sequence]))
+        arrived = settle(changes.select(*named(columns)).dropDuplicates(), "batch")
+        touched = self.touched(arrived)
+        if not touched:
+            return
+        known, rest = self.read(touched), None
+        if known is not None:
+            keys = settle(arrived.select(self.key).distinct(), "touched-keys")
+            same = known[f"`{self.key}`"].eqNullSafe(keys[f"`{self.key}`"])
+            rest = known.join(keys, same, "left_anti")
+            old = known.join(keys, same, "left_semi").select(*named(columns))
+            arrived = settle(old.unionByName(arrived).dropDuplicates(), "touched")
+        rows = rebuild_history(arrived, self.key, tracked, sequence, **options)
+        self.replace(settle(rows if rest is None else rows.unionByName(rest), "bucket-rows"))
 
 
 def apply_changes(
@@ -195,23 +179,15 @@ def apply_changes(
 ) -> DataFrame:
     """Keeps a versioned table from a change stream, late changes included.
 
-    Only the keys of a batch are read and rebuilt.
+    Only the buckets of a batch's keys are read, and only its keys are rebuilt.
     """
-    key = store.key
-    columns = list(dict.fromkeys([key, *tracked, *sequence]))
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        arrived = settle(batch.select(*named(columns)).dropDuplicates(), "batch")
-        known = store.rows(before=batch_id, touched=arrived.select(key).distinct())
-        if known is not None:
-            arrived = settle(known.select(*named(columns)).unionByName(arrived).dropDuplicates(), "touched")
-        store.write(batch_id, rebuild_history(arrived, key, tracked, sequence, **options))
-
-    run_batches(stream, each, checkpoint)
-    if store.rows() is None:  # nothing has arrived yet
+    run_batches(stream, lambda batch, _: store.apply(batch, tracked, sequence, **options), checkpoint)
+    found = store.latest()
+    if found is None:  # nothing has arrived yet
+        columns = list(dict.fromkeys([store.key, *tracked, *sequence]))
         none = stream.sparkSession.createDataFrame([], stream.select(*named(columns)).schema)
-        return rebuild_history(none, key, tracked, sequence, **options).filter("is_version").drop("is_version")
-    return store.latest()
+        return rebuild_history(none, store.key, tracked, sequence, **options).filter("is_version").drop("is_version")
+    return found
 
 
 def streamed_ranking(current: DataFrame) -> DataFrame:

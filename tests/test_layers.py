@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
-from lakemill.operators.versions import dense_ids, merge_versions
+from lakemill.operators.versions import VersionTable, dense_ids, merge_versions
 from lakemill.plans import layers, marts
 from lakemill.session import settle
 from lakemill.sources import bronze, files
@@ -165,36 +166,81 @@ def at(minute):
     return dt.datetime(2024, 1, 1, 0, minute)
 
 
-def streamed(spark, tmp_path, batches, compact_every=20, **options):
+def streamed(spark, tmp_path, batches, buckets=8, **options):
     folder = tmp_path / "changes"
     for rows in batches:  # one file for each batch, taken in order of time
         spark.createDataFrame(rows, CHANGES).coalesce(1).write.mode("append").parquet(str(folder))
     stream = changes.read_stream(spark, str(folder), spark.createDataFrame([], CHANGES).schema, files_per_batch=1)
-    store = changes.VersionStore(spark, str(tmp_path / "store"), "user_id", compact_every)
+    store = changes.VersionStore(spark, str(tmp_path / "store"), "user_id", buckets)
     table = changes.apply_changes(stream, store, str(tmp_path / "log"), ["state"], ["at", "event_id"], **options)
     return store, sorted((r.user_id, r.state, r.at.minute, r.end_at and r.end_at.minute, r.is_current) for r in table.collect())
 
 
-@pytest.mark.parametrize("hot_rows, compact_every", [(None, 20), (1, 2)])
-def test_late_change_splits_a_version(spark, tmp_path, hot_rows, compact_every):
+@pytest.mark.parametrize("hot_rows, buckets", [(None, 8), (1, 1)])
+def test_late_change_splits_a_version(spark, tmp_path, hot_rows, buckets):
     batches = [
         [(1, "A", at(1), 1), (1, "A", at(5), 2), (2, "X", at(2), 3)],
         [(1, "B", at(3), 4)],
         [(2, "X", at(9), 5), (1, "B", at(4), 6)],
     ]
     options = {} if hot_rows is None else {"hot_rows": hot_rows}
-    _, found = streamed(spark, tmp_path, batches, compact_every, **options)
+    _, found = streamed(spark, tmp_path, batches, buckets, **options)
     assert found == [(1, "A", 1, 3, False), (1, "A", 5, None, True), (1, "B", 3, 5, False), (2, "X", 2, None, True)]
 
 
+def stored_versions(store):
+    return sorted((r.user_id, r.state, r.at.minute, r.end_at and r.end_at.minute, r.is_current) for r in store.latest().collect())
+
+
 def test_batch_run_again_gives_the_same_snapshot(spark, tmp_path):
     store, found = streamed(spark, tmp_path, [[(1, "A", at(1), 1)], [(1, "B", at(3), 2)]])
-    before = store.rows(before=1)
-    assert before.count() == 1
-    touched = before.select("user_id", "state", "at", "event_id").unionByName(spark.createDataFrame([(1, "B", at(3), 2)], CHANGES))
-    store.write(1, changes.rebuild_history(touched, "user_id", ["state"], ["at", "event_id"]))
-    again = sorted((r.user_id, r.state, r.at.minute, r.end_at and r.end_at.minute, r.is_current) for r in store.latest().collect())
-    assert again == found
+    store.apply(spark.createDataFrame([(1, "B", at(3), 2)], CHANGES), ["state"], ["at", "event_id"])
+    assert stored_versions(store) == found
+    store.apply(spark.createDataFrame([], CHANGES), ["state"], ["at", "event_id"])
+    assert stored_versions(store) == found
+
+
+def bucket_files(folder):
+    return {str(p) for p in folder.rglob("*.parquet")}
+
+
+def test_a_batch_reads_and_replaces_its_own_buckets_only(spark, tmp_path):
+    store = changes.VersionStore(spark, str(tmp_path / "store"), "user_id", buckets=16)
+    rows = [(k, "A", at(k % 50), k) for k in range(200)] + [(None, "A", at(1), 1)]
+    store.apply(spark.createDataFrame(rows, CHANGES), ["state"], ["at", "event_id"])
+    before = bucket_files(tmp_path / "store")
+    one = spark.createDataFrame([(7, "B", at(55), 900), (None, "B", at(55), 901)], CHANGES)
+    touched = store.touched(one)
+    plan = store.read(touched)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_bucket" in plan and len(touched) <= 2
+    store.apply(one, ["state"], ["at", "event_id"])
+    gone = before - bucket_files(tmp_path / "store")
+    assert 0 < len({p.split("_bucket=")[1].split("/")[0] for p in gone}) <= 2
+    latest = store.latest()
+    assert latest.count() == 203 and latest.where("is_current").count() == 201
+    assert latest.where("user_id IS NULL AND NOT is_current").count() == 1
+
+
+def test_merge_of_a_part_of_the_keys_writes_their_buckets(spark, tmp_path):
+    table = VersionTable(spark, str(tmp_path / "table"), buckets=512)
+    rows = spark.range(2000).selectExpr("cast(id as int) AS place", "'k' || id AS key", "cast(id as int) AS amount", "repeat('n', 200) AS note")
+    merged = table.merge(rows, D1, ["place"], ["key"], ["amount"])
+    assert merged.statistics().first().asDict() == {"new": 2000, "changed": 0, "expired": 0, "unchanged": 0}
+    before = bucket_files(tmp_path / "table")
+    size = sum(os.path.getsize(p) for p in before)
+    some = rows.where("place % 100 = 0").selectExpr("place", "key", "IF(place % 200 = 0, amount + 1, amount) AS amount", "note")
+    some = some.unionAll(spark.createDataFrame([(5000, "new", 1, "x")], BATCH))
+    merged = table.merge(some, D2, ["place"], ["key"], ["amount"])
+    assert merged.statistics().first().asDict() == {"new": 1, "changed": 10, "expired": 10, "unchanged": 10}
+    written = sum(os.path.getsize(p) for p in bucket_files(tmp_path / "table") - before)
+    assert 0 < written < 0.1 * size
+    whole, _ = merge(spark, None, [tuple(r) for r in rows.collect()], D1)
+    whole, _ = merge(spark, whole, [tuple(r) for r in some.collect()], D2)
+    assert versions(table.read()) == versions(whole)
+    again = table.merge(some, D3, ["place"], ["key"], ["amount"])
+    assert again.statistics().first().unchanged == 21 and versions(table.read()) == versions(whole)
+    with pytest.raises(ValueError, match="before the newest"):
+        table.merge(some.withColumn("amount", F.lit(0)), D1, ["place"], ["key"], ["amount"])
 
 
 def test_listing_and_checked_copy(spark, tmp_path):

@@ -381,13 +381,13 @@ def gold_check(t):
     return audit.check_gold({"orders": t.orders, "none": t.orders.filter("o_orderstatus = 'X'")})
 
 
-RUN_RECORD_SQL = f"""WITH {STANDARD_SQL.replace("{", "{{").replace("}", "}}")}, n AS ({SILVER_COUNTS_SQL}) SELECT row_count AS source_row_count, row_count AS bronze_row_count, duplicate_count, null_count,
+RUN_RECORD_SQL = f"""WITH {STANDARD_SQL.replace("{", "{{").replace("}", "}}")}, n AS ({SILVER_COUNTS_SQL}) SELECT row_count + {{broken}} AS source_row_count, row_count AS bronze_row_count, {{broken}} AS malformed_count, duplicate_count, null_count,
   invalid_date_count, invalid_billing_count, (SELECT COUNT(*) FROM lineitem) AS silver_total_count,
   (SELECT COUNT(*) FROM lineitem WHERE l_linestatus = 'O') AS silver_current_count, (SELECT COUNT(*) FROM lineitem WHERE l_linestatus <> 'O') AS silver_historical_count,
   'PASS' AS scd2_validation, 8::BIGINT AS gold_tables_count, '{{gold}}' AS gold_validation, 'PASS' AS overall_status FROM n"""
 
 
-@entry("D25", RUN_RECORD_SQL.format(gold="PENDING"))
+@entry("D25", RUN_RECORD_SQL.format(gold="PENDING", broken="0::BIGINT"))
 def run_metrics(t):
     raw = roles.raw_encounters(t)
     rows = raw.count()

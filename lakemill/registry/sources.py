@@ -137,13 +137,21 @@ def json_snapshot(t):
     )
 
 
-@entry("S08", RUN_RECORD_SQL.format(gold="PASS"))
+@entry("S08", RUN_RECORD_SQL.format(gold="PASS", broken="(SELECT COUNT(*) FROM supplier)"))
 def quality_json(t):
+    """The encounters as files, and with them a record for each supplier whose name, not quoted, holds a comma."""
     raw = roles.raw_encounters(t)
-    counts = clean.clean_encounters_counts(raw)
-    rows = raw.count()
+    lines = raw.limit(0).unionByName(t.supplier.select(F.concat("s_name", F.lit(", annex")).alias("Hospital")), allowMissingColumns=True)
+    source, target = t.scratch("s08-source"), t.scratch("s08-bronze")
+    files.write_csv(raw, source)
+    lines.write.mode("append").options(**{**files.WRITE, "quote": ""}).csv(source)
+    layer = bronze.ingest(t.spark, source, target)
+    rows, broken = bronze.counts(t.spark, target)
+    counts = clean.clean_encounters_counts(layer)
     path = t.scratch("s08")
-    reports.write_metrics(layers.layer_metrics(t.spark, rows, rows, counts, roles.encounters(t), 8, {"scd2": "PASS", "gold": "PASS"}), path)
+    reports.write_metrics(
+        layers.layer_metrics(t.spark, rows, rows - broken, counts, roles.encounters(t), 8, {"scd2": "PASS", "gold": "PASS"}), path
+    )
     return t.spark.read.json(path).drop("timestamp")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakemill.functions import dates, numbers, text
 from lakemill.operators.dedupe import business_columns, named, one_per_key
-from lakemill.operators.quantiles import column_quantiles, exact_quantiles
+from lakemill.operators.quantiles import approximate_quantiles, column_quantiles, exact_quantiles
 from lakemill.operators.rows import beside, spread
 from lakemill.operators.statistics import group_medians_on_rows
 
@@ -36,6 +36,8 @@ LABEL_COLUMNS = (
 ENCOUNTER_DATES = ("Date of Admission", "Discharge Date")
 ENCOUNTER_WHOLES = ("Age", "Room Number")
 BILLING = "Billing Amount"
+#: Places that a unit cost keeps; amounts of money have two.
+COST_SCALE = 10
 NEGATIVE_BILLING = "_dq_negative_billing"
 CRITICAL_COLUMNS = ("Name", "Date of Admission", "Hospital", "Billing Amount")
 
@@ -143,7 +145,7 @@ def _products(raw: DataFrame) -> DataFrame:
         {
             **names,
             "_renamed": flag(names["product_name"] != F.col("product_name")),
-            "cost_price": numbers.to_number(F.col("cost_price")),
+            "cost_price": numbers.to_number(F.col("cost_price"), COST_SCALE),
         }
     )
 
@@ -305,9 +307,9 @@ def clean_identities(raw: DataFrame, fills: Mapping[str, object], median_column:
 
 
 def approximate_median(df: DataFrame, column: str, error: float = 0.01) -> int | None:
-    """None for a column without values."""
-    found = df.approxQuantile(column, [0.5], error)
-    return int(found[0]) if found else None
+    """Within `error` of the middle rank, the exact one if it is 0; None for a column without values."""
+    found = approximate_quantiles(df, [], column, [0.5], error).first()
+    return None if found is None else int(found[0][0])
 
 
 def clean_sales(raw: DataFrame) -> DataFrame:

@@ -52,6 +52,23 @@ def exact_quantiles(
     return out
 
 
+#: The finest rank error that the sketch is asked for.
+LEAST_ERROR = 1e-6
+
+
+def approximate_quantiles(
+    df: DataFrame, group: Sequence[str], value: str, probabilities: Sequence[float], error: float = 0.01, name: str = "quantiles"
+) -> DataFrame:
+    """One row per group with an array of values that occur, by sketches that tasks make and merge.
+
+    The rank of a value is off by no more than `error` times the group's size. Groups without a
+    value are left out. A hot group is as many sketches as there are tasks, and one merged.
+    """
+    points = F.array(*[F.lit(float(p)) for p in probabilities])
+    sketch = F.percentile_approx(F.col(f"`{value}`"), points, F.lit(int(1 / max(error, LEAST_ERROR))))
+    return df.groupBy(*named(group)).agg(sketch.alias(name)).filter(F.col(name).isNotNull())
+
+
 def _sliced_quantiles(levels, group, probabilities, name, limit, rows):
     """Sorts the values into slices, finds the slices that hold the wanted ranks, reads only these."""
     keys = named(group)

@@ -9,7 +9,7 @@ from lakemill.functions.numbers import mean_of, money, ratio as ratio_of, round_
 from lakemill.operators import dedupe, statistics
 from lakemill.operators.clean import exact_median
 from lakemill.operators.ordered import numbered
-from lakemill.operators.quantiles import medians
+from lakemill.operators.quantiles import approximate_quantiles, medians
 from lakemill.registry import entry, roles
 from lakemill.registry.roles import RAW_CUSTOMERS_SQL, RAW_ITEMS_SQL, RAW_PRODUCTS_SQL
 from lakemill.registry.sql import big, dbl, half_up, mean, month, percent, ratio
@@ -130,20 +130,20 @@ def median(t):
     return both.withColumn("median", round_half_up(F.col("median"), 4))
 
 
-@entry("A14", "SELECT 0.5::DOUBLE AS probability, TRUE AS is_a_value, TRUE AS within_error, COUNT(*) AS row_count FROM lineitem")
+@entry(
+    "A14",
+    """WITH q AS (SELECT l_returnflag, unnest([0.25, 0.5, 0.9]) AS probability, unnest(quantile_disc(l_extendedprice, [0.25, 0.5, 0.9])) AS v FROM lineitem GROUP BY 1)
+  SELECT l_returnflag, CAST(probability AS DOUBLE) AS probability, v AS quantile, CAST((SELECT COUNT(*) FROM lineitem l WHERE l.l_returnflag = q.l_returnflag AND l_extendedprice <= v) AS BIGINT) AS upto
+  FROM q""",
+)
 def approximate_quantile(t):
-    """The approximate median, checked: it occurs, and its rank is within the error bound."""
-    error = 0.01
-    found = t.lineitem.approxQuantile("l_extendedprice", [0.5], error)[0]
-    c = F.col("l_extendedprice")
-    ranks = t.lineitem.agg(
-        F.count_if(c < found).alias("below"), F.count_if(c <= found).alias("upto"), F.count(F.lit(1)).alias("row_count")
-    )
-    rows = F.col("row_count")
-    within = (F.col("below") <= (0.5 + error) * rows) & (F.col("upto") >= (0.5 - error) * rows)
-    return ranks.select(
-        F.lit(0.5).alias("probability"), (F.col("upto") > F.col("below")).alias("is_a_value"), within.alias("within_error"), "row_count"
-    )
+    """Per group, by a sketch whose error is below one row at this size, with the rank that each value reaches."""
+    points = [0.25, 0.5, 0.9]
+    found = approximate_quantiles(t.lineitem, ["l_returnflag"], "l_extendedprice", points, error=0, name="q")
+    pairs = F.arrays_zip(F.array(*[F.lit(p) for p in points]).alias("probability"), F.col("q").alias("quantile"))
+    rows = found.select("l_returnflag", F.explode(pairs).alias("p")).select("l_returnflag", "p.*")
+    ranks = t.lineitem.select("l_returnflag", "l_extendedprice").join(rows, "l_returnflag").groupBy("l_returnflag", "probability")
+    return ranks.agg(F.max("quantile").alias("quantile"), F.count_if(F.col("l_extendedprice") <= F.col("quantile")).alias("upto"))
 
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -63,19 +63,23 @@ def right(t):
 
 @entry(
     "J05",
-    """WITH a AS (SELECT o_custkey AS k, COUNT(*) AS n FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT' GROUP BY 1),
-  b AS (SELECT o_custkey AS k, COUNT(*) AS n FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority = '1-URGENT' GROUP BY 1)
+    """WITH a AS (SELECT o_custkey AS k, COUNT(*) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
+  b AS (SELECT CASE WHEN o_custkey % 7 = 0 THEN -o_custkey ELSE o_custkey END AS k, COUNT(*) AS n FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1)
   SELECT COALESCE(a.k, b.k) AS c_custkey, a.n AS done, b.n AS open,
   CASE WHEN a.k IS NULL THEN 'right only' WHEN b.k IS NULL THEN 'left only' ELSE 'both' END AS side
   FROM a FULL JOIN b ON a.k = b.k""",
 )
 def full(t):
-    def counted(state, name):
-        chosen = t.orders.filter((F.col("o_orderstatus") == state) & (F.col("o_orderpriority") == "1-URGENT"))
-        return chosen.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias(name))
+    """All orders; a seventh of the customers has other numbers on the right."""
+
+    def counted(chosen, key, name):
+        return t.orders.filter(chosen).groupBy(key.alias("c_custkey")).agg(F.count(F.lit(1)).alias(name))
+
+    key, done = F.col("o_custkey"), F.col("o_orderstatus") == "F"
+    other = F.when(key % 7 == 0, -key).otherwise(key)
 
     side = F.when(F.col("done").isNull(), "right only").when(F.col("open").isNull(), "left only").otherwise("both")
-    return counted("F", "done").join(counted("O", "open"), "c_custkey", "full").withColumn("side", side)
+    return counted(done, key, "done").join(counted(~done, other, "open"), "c_custkey", "full").withColumn("side", side)
 
 
 @entry(

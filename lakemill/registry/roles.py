@@ -101,7 +101,7 @@ raw_orders AS (SELECT o_orderkey AS order_id, {RAW_CUSTOMER_ID} AS customer_id,
 
 # Raw products: case and blanks, prices that are no number, and a second row for one brand.
 RAW_PRICE = (
-    "CASE WHEN p_size = 13 THEN 'n/a' WHEN p_size = 7 THEN '-1.50' "
+    "CASE WHEN p_size = 13 THEN 'n/a' WHEN p_size = 7 THEN '-1.50' WHEN p_size = 9 THEN '0.004' "
     "ELSE CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS STRING) END"
 )
 RAW_PRODUCT = (

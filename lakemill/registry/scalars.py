@@ -227,10 +227,10 @@ def weighted_score(t):
 
 @entry(
     "F28",
-    f"""WITH {RAW_PRODUCTS_SQL} SELECT product_id, place, {dbl("TRY_CAST(cost_price AS DECIMAL(18,2))")} AS price FROM raw_products""",
+    f"""WITH {RAW_PRODUCTS_SQL} SELECT product_id, place, TRY_CAST(cost_price AS DOUBLE) AS price FROM raw_products""",
 )
 def to_number(t):
-    return roles.raw_products(t).select("product_id", "place", numbers.to_number(F.col("cost_price")).alias("price"))
+    return roles.raw_products(t).select("product_id", "place", numbers.to_number(F.col("cost_price"), scale=10).alias("price"))
 
 
 @entry(

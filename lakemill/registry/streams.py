@@ -41,8 +41,12 @@ STREAM_COLUMNS = {
 KEY_COLUMNS = ["Name", "Date of Admission", "Hospital", "Doctor"]
 
 
-def arriving_encounters(t):
+def arriving_encounters(t, repeated=False):
+    """The events as raw encounters; `repeated` ones come a second time, and are taken once."""
     stream = arriving_events(t)
+    if repeated:
+        again = stream.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
+        stream = changes.delivered_once(again, ["event_id"])
     day = "date_format(ts, 'yyyy-MM-dd')"
     raw = stream.select("event_id", *[F.expr(e.format(day=day)).alias(c) for c, e in STREAM_COLUMNS.items()])
     return changes.silver_columns(raw, KEY_COLUMNS)
@@ -61,7 +65,7 @@ SILVER_SQL = f"""silver AS (SELECT event_id, event_type, {NAME_SQL} AS "Name", {
   md5("Name" || '|' || COALESCE("Date of Admission", '<null>') || '|' || "Hospital" || '|' || "Doctor") AS encounter_key FROM silver""",
 )
 def stream_silver(t):
-    written = changes.run_to_files(arriving_encounters(t), t.scratch("r02"), t.scratch("r02-log"))
+    written = changes.run_to_files(arriving_encounters(t, repeated=True), t.scratch("r02"), t.scratch("r02-log"))
     return written.drop("_raw_billing")
 
 

@@ -40,6 +40,17 @@ def with_lineage(stream: DataFrame) -> DataFrame:
     )
 
 
+def delivered_once(stream: DataFrame, keys: Sequence[str], within: str = "7 days") -> DataFrame:
+    """Each event once, though its file came again, in the same batch or a later one.
+
+    Events are known by their keys for the time `within` after they came. It runs on the time of
+    arrival, not of the event, so no event is dropped for being late, and the state is as large as
+    what arrives in that time.
+    """
+    arrived = stream.withColumn("_arrived", F.current_timestamp()).withWatermark("_arrived", within)
+    return arrived.dropDuplicatesWithinWatermark(list(keys)).drop("_arrived")
+
+
 def run_to_files(stream: DataFrame, target: str, checkpoint: str) -> DataFrame:
     """Appends all available input to Parquet files and returns what was written."""
     query = (

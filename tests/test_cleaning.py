@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemill.functions import dates, nested, numbers, text
-from lakemill.operators import audit, clean, statistics
+from lakemill.operators import audit, clean, quantiles, statistics
 from lakemill.operators.dedupe import repeated_members, repeated_rows
 
 ENCOUNTER_COLUMNS = [
@@ -281,3 +281,23 @@ def test_histogram_of_one_value(spark):
     df = spark.createDataFrame([(3.0,)] * 5, "v double")
     rows = statistics.histogram(df, F.col("v"), 4).orderBy("bin").collect()
     assert [r.row_count for r in rows] == [5, 0, 0, 0]
+
+
+def test_small_costs_are_kept(spark):
+    rows = [(1, "1", "a", "b", "c", "0.004"), (2, "2", "a", "b", "c", "-0.004"), (3, "3", "a", "b", "c", "x"), (4, "4", "a", "b", "c", "0")]
+    raw = spark.createDataFrame(rows, "place int, product_id string, product_name string, category string, subcategory string, cost_price string")
+    costs = {r.product_id: r.cost_price for r in clean.clean_products(raw, ["place"]).collect()}
+    assert [None if costs[k] is None else float(costs[k]) for k in "1234"] == [0.004, -0.004, None, 0.0]
+    counts = clean.clean_products_counts(raw).first()
+    assert (counts.products_nonpositive_cost_price, counts.products_invalid_cost_price) == (2, 1)
+
+
+def test_quantiles_by_sketch(spark):
+    rows = spark.range(30_000).selectExpr("id % 3 AS g", "IF(id % 50 = 0, NULL, (id * 7919) % 30000) AS v").unionAll(spark.createDataFrame([(9, None)], "g long, v long"))
+    for error in (0.05, 0.001):
+        got = {r.g: r.q for r in quantiles.approximate_quantiles(rows, ["g"], "v", [0.1, 0.5, 1.0], error, "q").collect()}
+        assert set(got) == {0, 1, 2}
+        for g, found in got.items():
+            values = sorted(r.v for r in rows.where(f"g = {g} AND v IS NOT NULL").collect())
+            for p, v in zip([0.1, 0.5, 1.0], found):
+                assert v in values and abs(values.index(v) + 1 - p * len(values)) <= error * len(values) + 1

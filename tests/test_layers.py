@@ -200,6 +200,21 @@ def test_batch_run_again_gives_the_same_snapshot(spark, tmp_path):
     assert stored_versions(store) == found
 
 
+def test_a_file_that_comes_again_gives_its_events_once(spark, tmp_path):
+    rows = [(k, "A", at(k % 50), k) for k in range(100)]
+    first, second = rows[:60], rows[40:]  # the second file brings some of the first again
+    for name, part in (("a", first), ("b", second)):
+        spark.createDataFrame(part, CHANGES).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    for run in range(3):
+        if run == 1:  # all files once more, after the first run has ended
+            spark.createDataFrame(rows, CHANGES).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        if run == 2:  # and an event much older than all others, which is not lost
+            spark.createDataFrame([(7, "old", dt.datetime(2001, 1, 1), 777)], CHANGES).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = changes.read_stream(spark, str(tmp_path / "in"), spark.createDataFrame([], CHANGES).schema, files_per_batch=1)
+        got = changes.run_to_files(changes.delivered_once(stream, ["event_id"]), str(tmp_path / "out"), str(tmp_path / "log"))
+        assert sorted(r.event_id for r in got.collect()) == sorted([k for k in range(100)] + ([777] if run == 2 else []))
+
+
 def bucket_files(folder):
     return {str(p) for p in folder.rglob("*.parquet")}
 

@@ -1,11 +1,14 @@
 """Benchmark passages in documents, with DataFrame functions only.
 
 A passage is a window of as many words as a benchmark item. Windows get SimHash fingerprints of
-their weighted shingles; blocks of the fingerprint's bits index them so that every item within the
-radius is met (radius + 1 blocks: one of them is equal), and the exact weighted similarity of the
-shingles decides. A window at the similarity shares a known number of shingles with the item, in
-any order, so all windows that hold so many places of shared shingles are fingerprinted, and no
-others.
+their weighted shingles. Four blocks of 16 bits index them: fingerprints within the radius are
+within a known share of it in one block, so the blocks are sought with all values that near, and
+every item within the radius is met. The exact weighted similarity of the shingles decides. A
+window at the similarity shares a known number of shingles with the item, in any order, so all
+windows that hold so many places of shared shingles are fingerprinted, and no others.
+
+The first pass over the texts sends on places of shared shingles only; the second reads the texts
+that have such windows, and no other text is shuffled.
 """
 
 from __future__ import annotations
@@ -22,10 +25,17 @@ WIDTH = 5
 SIMILARITY = 0.8
 #: Bits by which the fingerprints of a window and an item at the similarity may differ. The angle
 #: at weighted similarity 0.8 puts the mean near 10 of 64 with a deviation of 3; windows beyond
-#: this radius, five deviations off, are the only ones that the index can miss.
-RADIUS = 25
+#: this radius, about one in a hundred of those just at the similarity, are the only ones that the
+#: index can miss.
+RADIUS = 16
+BLOCKS = 4
+#: Bits of a block that are flipped on the items' side; what a block needs beyond is flipped on the windows' side.
+ITEM_FLIPS = 3
 #: Shingles of items that are broadcast at once (16 bytes each); more are joined block by block.
 BROADCAST_SHINGLES = 1_000_000
+#: Keys of texts with windows that are broadcast (8 bytes each) to leave out the other texts;
+#: with more of them the texts are shuffled once.
+BROADCAST_KEYS = 1_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -78,48 +88,78 @@ def starts_of(places: Column, n: Column, size: Column, width: int, similarity: f
     return F.when(F.size(places) >= need, F.array_distinct(F.flatten(found))).otherwise(none)
 
 
-def blocks_of(fingerprint: Column, radius: int) -> Column:
-    """(number, bits) of the radius + 1 blocks of a fingerprint."""
-    cuts = [64 * k // (radius + 1) for k in range(radius + 2)]
-    return F.array(
-        *[
-            F.struct(F.lit(k).alias("block"), F.shiftrightunsigned(fingerprint, lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1).cast("long")).alias("bits"))
-            for k, (lo, hi) in enumerate(zip(cuts, cuts[1:]))
-        ]
+def block_radii(radius: int) -> list[int]:
+    """How near some block must be: two fingerprints beyond these in every block are beyond `radius`."""
+    near, more = divmod(radius, BLOCKS)
+    return [near if k <= more else near - 1 for k in range(BLOCKS)]
+
+
+def flips_of(fingerprint: Column, flips: list[int]) -> Column:
+    """(block, bits): each block of the fingerprint with up to `flips[block]` bits flipped; none if negative."""
+    wide = 64 // BLOCKS
+
+    def flipped(block: int, most: int) -> Column:
+        masks = F.split(F.lit(",".join(str(m) for m in range(1 << wide) if m.bit_count() <= most)), ",").cast("array<long>")
+        bits = F.shiftrightunsigned(fingerprint, block * wide).bitwiseAND(F.lit((1 << wide) - 1).cast("long"))
+        return F.transform(masks, lambda m: F.struct(F.lit(block).alias("block"), bits.bitwiseXOR(m).alias("bits")))
+
+    return F.flatten(F.array(*[flipped(k, most) for k, most in enumerate(flips) if most >= 0]))
+
+
+def candidates(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
+    """(n, fingerprint, item, distance): distinct fingerprints of windows and the items within `radius` bits of them."""
+    radii = block_radii(radius)
+    by_item = [min(r, ITEM_FLIPS) for r in radii]
+    by_window = [r - i for r, i in zip(radii, by_item)]
+    index = items.select("item", "n", F.col("fingerprint").alias("item_fingerprint"), F.explode(flips_of(F.col("fingerprint"), by_item)).alias("b"))
+    index = index.select("item", "n", "item_fingerprint", "b.block", "b.bits")
+    asked = windows.select("n", "fingerprint").distinct()
+    asked = asked.select("n", "fingerprint", F.explode(flips_of(F.col("fingerprint"), by_window)).alias("b")).select("n", "fingerprint", "b.block", "b.bits")
+    # The index is far larger than its items, which the planner measures; it is not to be broadcast.
+    return (
+        asked.join(index.hint("merge"), ["n", "block", "bits"])
+        .withColumn("distance", F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))))
+        .where(F.col("distance") <= radius)
+        .select("n", "fingerprint", "item", "distance")
+        .distinct()
     )
 
 
-def _hits(docs: DataFrame, items: DataFrame, width: int, similarity: float, radius: int, bound: int) -> DataFrame:
-    """Hits of items whose shingles have `width` words; `item` is an item's own key, as its id may be null or repeated."""
+def placed_shingles(words: Column, width: int) -> Column:
+    """(size, place, h) of each shingle, so that an exploded row needs nothing of its text."""
+    last = F.size(words) - width
+    row = lambda i: F.struct(F.size(words).alias("size"), i.alias("place"), F.xxhash64(*[F.get(words, i + k) for k in range(width)]).alias("h"))
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), row))
+
+
+def _hits(docs: DataFrame, items: DataFrame, width: int, similarity: float, radius: int, bound: int, bound_keys: int) -> DataFrame:
+    """Hits of items whose shingles have `width` words; `item` is an item's own key, as its id may be null or repeated.
+
+    `docs` are (key, doc_id, text). Texts with one key are one text, or share their windows' starts, which harms nothing.
+    """
     probes = items.select("item", "n", F.explode(F.array_distinct("shingles")).alias("h"))
     size = probes.count()
-    places = docs.select("doc_id", F.size("words").alias("size"), F.posexplode(shingles_of(F.col("words"), width)).alias("place", "h"))
+    places = docs.select("key", words_of(F.col("text")).alias("words")).select("key", F.inline(placed_shingles(F.col("words"), width)))
     if size <= bound:
         met = places.join(F.broadcast(probes), "h")
     else:  # as many passes as it takes, each beside a bounded part of the shingles
         parts = -(-size // bound)
         part = F.pmod(F.col("h"), F.lit(parts))
         met = reduce(DataFrame.unionAll, [places.join(F.broadcast(probes.where(part == k)), "h") for k in range(parts)])
-    shared = met.groupBy("doc_id", "size", "item", "n").agg(F.sort_array(F.collect_set("place")).alias("places"))
-    starts = shared.select("doc_id", "size", "n", F.explode(starts_of(F.col("places"), F.col("n"), F.col("size"), width, similarity)).alias("start"))
+    shared = met.groupBy("key", "size", "item", "n").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    starts = shared.select("key", "n", F.explode(starts_of(F.col("places"), F.col("n"), F.col("size"), width, similarity)).alias("start"))
     starts = settle(starts.distinct(), "window-starts")
-    texts = docs.withColumnRenamed("doc_id", "__id")
-    windows = texts.join(starts, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.size("words") == F.col("size"))).select("doc_id", "n", "start", "words")
-    windows = windows.withColumn("shingles", shingles_of(F.slice("words", F.col("start") + 1, F.col("n")), width)).drop("words")
+    keys = starts.select("key").distinct()
+    few = keys.count() <= bound_keys
+    texts = docs.join(F.broadcast(keys) if few else keys.hint("merge"), "key", "left_semi")
+    texts = texts.groupBy("key", "doc_id").agg(F.first("text").alias("text"))
+    texts = texts.select("key", "doc_id", words_of(F.col("text")).alias("words")).select("key", "doc_id", shingles_of(F.col("words"), width).alias("all"))
+    # A window of a text shorter than the item ends with the text.
+    windows = texts.join(starts, "key").select("doc_id", "n", "start", F.slice("all", F.col("start") + 1, F.col("n") - (width - 1)).alias("shingles"))
     windows = settle(windows.where(F.size("shingles") > 0).withColumn("fingerprint", simhash(F.col("shingles"))), "windows")
-    index = items.select("item", "n", "fingerprint", F.explode(blocks_of(F.col("fingerprint"), radius)).alias("b"))
-    index = index.select("item", "n", F.col("fingerprint").alias("item_fingerprint"), "b.block", "b.bits")
-    asked = windows.select("n", "fingerprint", F.explode(blocks_of(F.col("fingerprint"), radius)).alias("b")).select("n", "fingerprint", "b.block", "b.bits").distinct()
-    near = (
-        asked.join(index, ["n", "block", "bits"])
-        .withColumn("distance", F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_fingerprint"))))
-        .where(F.col("distance") <= radius)
-        .select("n", "fingerprint", "item", "distance")
-        .distinct()
-    )
     sources = items.select("item", "item_id", F.col("shingles").alias("item_shingles"))
     return (
-        windows.join(near, ["n", "fingerprint"])
+        windows.join(candidates(windows, items, radius), ["n", "fingerprint"])
         .join(sources, "item")
         .withColumn("similarity", weighted_similarity(F.col("shingles"), F.col("item_shingles")))
         .where(F.col("similarity") >= similarity)
@@ -138,6 +178,7 @@ def find_passages(
     similarity: float = SIMILARITY,
     radius: int = RADIUS,
     bound: int = BROADCAST_SHINGLES,
+    bound_keys: int = BROADCAST_KEYS,
 ) -> DataFrame:
     """(id, item_id, start, n_words, distance, similarity): the best window of each document and item.
 
@@ -147,17 +188,18 @@ def find_passages(
     one row together, also those with a null id; items with one id, or none, count as one row each way.
     Other columns are ignored. Empty tables give an empty result.
     """
-    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), words_of(text_of(text)).alias("words"))
+    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), text_of(text).alias("text"))
+    texts = texts.withColumn("key", F.xxhash64("doc_id", "text"))
     items = benchmark.select(F.col(f"`{item_id}`").alias("item_id"), words_of(text_of(item_text)).alias("words")).distinct()
     items = items.withColumn("n", F.size("words")).where("n > 0").withColumn("width", F.least("n", F.lit(width)))
     found = None
     for w in sorted(r[0] for r in items.select("width").distinct().collect()):  # at most `width` of them
         sized = items.where(F.col("width") == w).withColumn("shingles", shingles_of(F.col("words"), w)).withColumn("item", F.monotonically_increasing_id())
         sized = settle(sized.withColumn("fingerprint", simhash(F.col("shingles"))).drop("words", "width"), "benchmark-items")
-        hits = _hits(texts, sized, w, similarity, radius, bound)
+        hits = _hits(texts, sized, w, similarity, radius, bound, bound_keys)
         found = hits if found is None else found.unionAll(hits)
     if found is None:
-        found = _hits(texts.limit(0), items.withColumn("item", F.lit(0).cast("long")).withColumn("shingles", shingles_of(F.col("words"), width)).withColumn("fingerprint", F.lit(0).cast("long")), width, similarity, radius, bound)
+        found = _hits(texts.limit(0), items.withColumn("item", F.lit(0).cast("long")).withColumn("shingles", shingles_of(F.col("words"), width)).withColumn("fingerprint", F.lit(0).cast("long")), width, similarity, radius, bound, bound_keys)
     best = F.struct(F.col("similarity"), (-F.col("start")).alias("back"), F.col("n_words"), F.col("distance"))
     best_rows = found.groupBy("doc_id", "item_id").agg(F.max(best).alias("b"))
     return best_rows.select(

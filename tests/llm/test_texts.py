@@ -405,3 +405,49 @@ def test_suffix_query_digests(spark):
     rows = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text").collect()
     want = [(i, n, gone, spans, hashlib.sha256(kept).hexdigest()) for i, n, gone, spans, kept in brute_repeats([tuple(r) for r in rows])]
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == want
+
+
+def test_index_of_passages_prunes_and_keeps_the_recall(spark):
+    rnd = random.Random(9)
+    items, near = [], []
+    for k in range(150):
+        item = [rnd.getrandbits(63) for _ in range(46)]
+        items.append((k, 50, item))
+        near += [(k, 50, item[: 46 - c] + [rnd.getrandbits(63) for _ in range(c)]) for c in (1, 3, 5, 5, 5)]  # 5 of 46 changed: 0.804
+    schema = "item long, n int, shingles array<long>"
+    printed = lambda rows: spark.createDataFrame(rows, schema).withColumn("fingerprint", decontaminate.simhash(F.col("shingles")))
+    a, b = printed(items), printed(near)
+    found = {(r.fingerprint, r.item): r.distance for r in decontaminate.candidates(b, a, decontaminate.RADIUS).collect()}
+    want = {}
+    prints = [(r.item, r.fingerprint) for r in a.collect()]
+    near = [(r.item, r.fingerprint) for r in b.collect()]
+    for _, f in near:
+        for k, g in prints:
+            d = ((f ^ g) & (1 << 64) - 1).bit_count()
+            if d <= decontaminate.RADIUS:
+                want[f, k] = d
+    assert found == want  # all fingerprints within the radius
+    assert sum((f, k) in found for k, f in near) >= 0.97 * len(near)
+    # Pairs that meet in the index, before their distance is measured.
+    radii = decontaminate.block_radii(decontaminate.RADIUS)
+    near_in = lambda f, g: any((((f ^ g) >> 16 * k) & 0xFFFF).bit_count() <= r for k, r in enumerate(radii))
+    met = sum(near_in(f, g) for i, f in near for k, g in prints if i != k)
+    assert met < 0.1 * len(near) * (len(prints) - 1)
+
+
+@pytest.mark.parametrize("radius", [0, 3, 16, 17, 25])
+def test_blocks_reach_every_fingerprint_within_the_radius(radius):
+    radii = decontaminate.block_radii(radius)
+    assert sum(radii) + len(radii) == radius + 1  # one bit more in every block is beyond the radius
+
+
+def test_passages_in_a_very_long_text(spark):
+    words = [f"w{k * 7919 % 99_991}" for k in range(500_000)]
+    passage = [f"item{k}" for k in range(40)]
+    text = " ".join([*words[:400_000], *passage, *words[400_000:]])
+    rows = [(1, text), (1, text), (1, " ".join(passage)), (None, "clean"), (None, " ".join(["a", *passage]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, " ".join(passage))], "item_id long, text string")
+    for few in (0, 10):  # texts shuffled, or left out by their keys
+        got = decontaminate.find_passages(docs, bench, bound_keys=few).collect()
+        assert sorted(((r.doc_id or 0), r.start, r.similarity) for r in got) == [(0, 1, 1.0), (1, 0, 1.0)]

@@ -29,6 +29,14 @@ def text_of(name: str) -> Column:
     return F.coalesce(F.col(f"`{name}`"), F.lit(""))
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """`name`, lengthened until no column has it, in upper or lower case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def drawn(df: DataFrame, rows: int) -> DataFrame:
     """At most `rows` rows of `df`, those with the least hashes of all their columns.
 
@@ -52,7 +60,7 @@ def add_columns(
     prepare(df.sparkSession)
     names = {f.name.lower() for f in fields}
     kept = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in names])
-    source = kept.withColumn("__text", F.col(f"`{text}`")) if text.lower() not in names else kept.withColumn("__text", df[text])
+    source = df.select(*[F.col(f"`{c}`") for c in kept.columns], F.col(f"`{text}`").alias(fresh("text_read", kept.columns)))
     schema = T.StructType([*kept.schema.fields, *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

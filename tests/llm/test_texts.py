@@ -451,3 +451,28 @@ def test_passages_in_a_very_long_text(spark):
     for few in (0, 10):  # texts shuffled, or left out by their keys
         got = decontaminate.find_passages(docs, bench, bound_keys=few).collect()
         assert sorted(((r.doc_id or 0), r.start, r.similarity) for r in got) == [(0, 1, 1.0), (1, 0, 1.0)]
+
+
+#: Names that the operators and stages use inside, some in upper case.
+INNER = ["__text", "text_read", "__score", "score", "SCORE_", "__fp", "fp", "__id", "key", "kept", "kept_text", "spans", "n_removed", "n_bytes", "carried_0", "words", "start", "component_id", "item_id", "label"]
+
+
+def test_stages_leave_columns_with_inner_names_alone(spark, tmp_path):
+    words = [f"w{k}" for k in range(30)]
+    texts = [(k, " ".join(f"{w}x{k}" for w in words)) for k in range(6)] + [(None, "no id here"), (9, None), (10, "")]
+    rows = [(i, t, "en", "s", len(t or ""), *[f"{n} {i}" for n in INNER]) for i, t in texts]
+    docs = spark.createDataFrame(rows, DOCS + ", " + ", ".join(f"`{n}` string" for n in INNER))
+    spark.createDataFrame([(k, k % 2, 0) for k in range(6)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, texts[5][1])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        for some in (docs, docs.limit(0)):
+            kept = stage(spark, some, str(tmp_path))
+            assert kept.columns == docs.columns, name
+            got = kept.collect()
+            assert {tuple(r) for r in got} <= {r[:4] + (len(r[1] or ""),) + r[5:] if r[1] else (r[0], r[1] if name != "suffix-array dedup" else "", *r[2:]) for r in rows}, name
+            assert (len(got) > 0) == (some is docs), name
+        if name == "benchmark decontamination":
+            assert 5 not in {r.doc_id for r in stage(spark, docs, str(tmp_path)).collect()}
+    last = corpus_pipeline.STAGES[-1][1]
+    assert {r.doc_id for r in last(spark, docs, str(tmp_path)).collect()} == {i for i, _ in texts}
+    assert last(spark, docs.limit(0), str(tmp_path)).count() == 0

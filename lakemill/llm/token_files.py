@@ -24,6 +24,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -47,6 +48,8 @@ SAMPLE_IDS = 2_000
 #: Documents and bytes of frames after which a segment ends.
 SEGMENT_ROWS = 4_096
 SEGMENT_BYTES = 4 << 20
+#: Files whose starts one task adds up.
+FILE_BLOCK = 4_096
 #: Bytes of frames that a file aims at; a parameter, as a large corpus wants larger files.
 FILE_BYTES = 2 << 20
 
@@ -122,9 +125,9 @@ def _raw(df: DataFrame, column: str, path: str) -> None:
 def write(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", file_bytes: int = FILE_BYTES, unnamed: bool = False) -> TokenFiles:
     """Encodes every whole text (null: empty) and writes it, with the end id, in ascending id order.
 
-    Repeated ids stand side by side, ordered by their ids' bytes. A row with a null id cannot be
-    found by it: such rows are refused, or with `unnamed` written after all others, in files by a
-    hash of their frames. An empty table writes no segment.
+    Repeated ids stand side by side, in any order; an id with very many rows fills several files. A row
+    with a null id cannot be found by it: such rows are refused, or with `unnamed` written after all
+    others, dealt over files of their own. An empty table writes no segment.
     """
     spark = prepare(docs.sparkSession)
     source = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(text).alias("text"))
@@ -132,30 +135,42 @@ def write(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "
     digest = hashlib.sha256(dictionary).digest()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
+        words, mix = Encoder(tokenizer), np.random.default_rng()
         packer = zstandard.ZstdCompressor(level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=True)
         for b in batches:
             if b.column(0).null_count and not unnamed:
                 raise ValueError("a document without an id")
-            ids = encoder.encode(b.column(1).to_pylist(), END_ID)
+            ids = words.encode(b.column(1).to_pylist(), END_ID)
             frames = [packer.compress(x.astype("<u4").tobytes()) for x in ids]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(x) for x in ids], pa.int64()), pa.array(frames, pa.binary())],
-                names=["doc_id", "n", "frame"],
+                [b.column(0), pa.array(mix.random(len(ids))), pa.array([len(x) for x in ids], pa.int64()), pa.array(frames, pa.binary())],
+                names=["doc_id", "salt", "n", "frame"],
             )
 
-    framed = settle(source.mapInArrow(encode, "doc_id long, n long, frame binary"), "token-frames")
+    # The salt deals rows of one id over the files of that id; it is stored, so it stays the same.
+    framed = settle(source.mapInArrow(encode, "doc_id long, salt double, n long, frame binary"), "token-frames")
     sizes = {r[0]: r[1] or 0 for r in framed.groupBy(F.col("doc_id").isNull()).agg(F.sum(F.octet_length("frame"))).collect()}  # at most two
     files, apart = max(1, -(-sizes.get(False, 0) // file_bytes)), max(1, -(-sizes.get(True, 0) // file_bytes))
-    # The range of each file, found once; then every row's file is a plain function of its id.
+    # The last id of each file but one, found once. An id that ends several files has all of them.
     bounds = framed.stat.approxQuantile("doc_id", [k / files for k in range(1, files)], 0.2 / files) if files > 1 else []
-    cuts = sorted({int(x) for x in bounds})
-    file = F.aggregate(F.array(*[F.lit(c) for c in cuts]).cast("array<long>"), F.lit(0), lambda n, c: n + (F.col("doc_id") > c).cast("int"))
-    after = F.lit(len(cuts) + 1) + F.pmod(F.xxhash64("frame"), F.lit(apart)).cast("int")
-    placed = framed.withColumn("file", F.when(F.col("doc_id").isNull(), after).otherwise(file if cuts else F.lit(0)))
-    totals = placed.groupBy("file").agg(F.sum("n").alias("n"))
-    before = totals.select("file", (F.sum("n").over(Window.orderBy("file")) - F.col("n")).alias("before"))
-    ordered = placed.join(F.broadcast(before), "file").select("file", "before", "doc_id", "n", "frame")  # one row a file
+    cuts = np.sort(np.array(bounds, np.float64)).astype(np.int64)
+
+    @F.pandas_udf("int")
+    def file_of(doc_id: pd.Series, salt: pd.Series) -> pd.Series:
+        low = np.searchsorted(cuts, doc_id.to_numpy(), "left")
+        several = np.maximum(np.searchsorted(cuts, doc_id.to_numpy(), "right") - low, 1)
+        return pd.Series((low + (salt.to_numpy() * several).astype(np.int64)).astype(np.int32))
+
+    after = F.lit(len(cuts) + 1) + F.floor(F.col("salt") * apart).cast("int")
+    named = file_of(F.coalesce("doc_id", F.lit(0).cast("long")), "salt")
+    placed = framed.withColumn("file", F.when(F.col("doc_id").isNull(), after).otherwise(named))
+    totals = placed.groupBy("file").agg(F.sum("n").alias("n")).withColumn("block", F.floor(F.col("file") / FILE_BLOCK))
+    blocks = totals.groupBy("block").agg(F.sum("n").alias("n"))
+    blocks = blocks.select("block", (F.sum("n").over(Window.orderBy("block")) - F.col("n")).alias("earlier"))  # a row for thousands of files
+    within = F.sum("n").over(Window.partitionBy("block").orderBy("file")) - F.col("n")
+    before = totals.withColumn("within", within).join(blocks, "block").select("file", (F.col("within") + F.col("earlier")).alias("before"))
+    before = settle(before, "file-starts")
+    ordered = placed.join(before, "file").select("file", "before", "doc_id", "n", "frame")
 
     def lay(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file, start, entries, frames, held, magic = None, 0, [], [], 0, MAGIC

@@ -476,3 +476,18 @@ def test_stages_leave_columns_with_inner_names_alone(spark, tmp_path):
     last = corpus_pipeline.STAGES[-1][1]
     assert {r.doc_id for r in last(spark, docs, str(tmp_path)).collect()} == {i for i, _ in texts}
     assert last(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_token_files_of_a_hot_id(spark):
+    rnd = random.Random(3)
+    some = lambda: " ".join(str(rnd.random()) for _ in range(20))
+    rows = [(5 if k % 3 == 0 else None if k % 3 == 1 else k * 2**50, "the same text " * 20 if k % 2 else some()) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    stored = token_files.write(docs, queries.tokenizer_path(), file_bytes=3_000, unnamed=True)
+    held = [[index["doc_id"].tolist() for _, index, _, named in token_files.segments(bytes(r.content)) if named] for r in spark.read.format("binaryFile").load(stored.files).collect()]
+    assert sum(any(5 in ids for ids in file) for file in held) > 3  # not one file and one task
+    got = token_files.read(spark, stored).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("crc")).orderBy("start").collect()
+    want = sorted(((i, zlib.crc32(np.array(x, "<u4").tobytes())) for (i, _), x in zip(rows, plain_ids([t for _, t in rows]))), key=str)
+    assert sorted(((r.doc_id, r.crc) for r in got), key=str) == want
+    ids = [2**63 if r.doc_id is None else r.doc_id for r in got]
+    assert ids == sorted(ids) and [r.start for r in got] == np.cumsum([0, *[r.n_tokens for r in got[:-1]]]).tolist()

@@ -263,3 +263,41 @@ def test_listing_and_checked_copy(spark, tmp_path):
     assert files.copy_checked(source, str(tmp_path / "copy")).first().verified
     listed = files.list_files(spark, str(tmp_path / "copy"), "*.parquet").agg(F.sum("size_bytes"), F.count("*")).first()
     assert listed[0] > 0 and listed[1] > 0
+
+
+def test_layered_run_leaves_no_copies_of_its_layers(spark, tmp_path):
+    """Rows that the silver layer has are not kept in the shared folder, over a first and a second batch."""
+    folder = tmp_path / "in"
+    one = write_batch(folder, "1.csv", *[encounter(Name=f"p{i}") for i in range(4)])
+    two = write_batch(folder, "2.csv", encounter(Name="p1", **{"Billing Amount": "9.99"}), encounter(Name="p7"))
+    shared = spark.conf.get("spark.checkpoint.dir") + "/lakemill"
+    before = set(os.listdir(shared)) if os.path.isdir(shared) else set()
+    record = layers.run_layers(spark, [(one, D1), (two, D2)], str(tmp_path / "out")).first()
+    assert (record.silver_total_count, record.silver_current_count, record.silver_historical_count) == (6, 5, 1)
+    left = {name.rpartition("-")[0] for name in set(os.listdir(shared)) - before if os.listdir(f"{shared}/{name}")}
+    assert not left & {"distinct", "incoming", "bucket-rows", "changes", "csv-lines"}
+    silver = spark.read.parquet(str(tmp_path / "out" / "silver"))
+    assert sorted((r.Name, r._source_file) for r in silver.collect())[:3] == [("P0", "1.csv"), ("P1", "1.csv"), ("P1", "2.csv")]
+
+
+def test_rows_with_text_lineage_are_grouped_without_a_sort(spark, tmp_path):
+    from lakemill.operators import clean
+
+    path = write_batch(tmp_path / "in", "1.csv", encounter(Name="a"), encounter(Name="a"), encounter(Name="b"))
+    raw = bronze.ingest(spark, path, str(tmp_path / "out"))
+    distinct = clean.distinct_encounters(raw, layers.ROW_ID)
+    assert "SortAggregate" not in distinct._jdf.queryExecution().executedPlan().toString()
+    got = distinct.orderBy(layers.ROW_ID).collect()
+    assert [(r.Name, r._bronze_row_id, r._source_file, r._copies) for r in got] == [("A", 1, "1.csv", 2), ("B", 3, "1.csv", 1)]
+    assert distinct.columns[-3:] == ["_copies", "_bad_dates", "_negative"]
+
+
+def test_first_merge_shuffles_rows_once_for_the_last_of_a_key(spark, tmp_path, monkeypatch):
+    from lakemill.operators import versions
+
+    calls = []
+    plain = versions.last_per_key
+    monkeypatch.setattr(versions, "last_per_key", lambda *a: calls.append(1) or plain(*a))
+    batch = spark.createDataFrame([(1, "a", 1, "x"), (2, "b", 5, "x")], BATCH)
+    VersionTable(spark, str(tmp_path / "t"), 4).merge(batch, D1, ["place"], ["key"], ["amount"])
+    assert len(calls) == 1

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import os
 import random
 
 import pytest
@@ -128,3 +129,47 @@ def test_partition_folders_keep_their_column(spark, tmp_path):
         written(tmp_path / f"src/day={day}/data.csv", [(str(day), "a\nb", "c")])
     got = sorted(map(tuple, files.read_csv(spark, str(tmp_path / "src"), "id int, t string, u string").collect()))
     assert got == [(1, "a\nb", "c", 1), (2, "a\nb", "c", 2)]
+
+
+def stored_frames(spark):
+    """Labels of what lies in the shared folder, with their numbers."""
+    folder = spark.conf.get("spark.checkpoint.dir") + "/lakemill"
+    return sorted(os.listdir(folder)) if os.path.isdir(folder) else []
+
+
+def test_plain_lines_are_not_stored(spark, tmp_path, small_splits):
+    header, folder = "id,t,u", tmp_path / "in"
+    folder.mkdir()
+    for name in "ab":
+        (folder / f"{name}.csv").write_text(header + "\n" + "".join(f'{name}{k},"say ""so""",{"x" * 30}\n' for k in range(200)), encoding="utf-8")
+    before = stored_frames(spark)
+    layer = bronze.ingest(spark, str(folder), str(tmp_path / "bronze"))
+    assert not [x for x in set(stored_frames(spark)) - set(before) if x.startswith("csv-")]
+    got = layer.orderBy("_bronze_row_id").collect()
+    assert [(r._bronze_row_id, r.id, r._source_file) for r in got] == [(k + 1, f"{'ab'[k // 200]}{k % 200}", f"{'ab'[k // 200]}.csv") for k in range(400)]
+    assert spark.read.parquet(str(tmp_path / "bronze" / "splits")).count() > 10
+
+
+@pytest.mark.parametrize("lines", [["k,v", "1,a", "k,v", "2,b"], ["k,v", "1,a", "", "2,b"], ["", "k,v", "1,a"]])
+def test_header_like_and_blank_lines_go_the_longer_way(spark, tmp_path, lines):
+    (tmp_path / "a.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    assert records.plain_records(spark, str(tmp_path)) is None
+    if lines[0]:
+        got = sorted(map(tuple, files.read_csv_text(spark, str(tmp_path)).collect()))
+        assert got == sorted(tuple(x.split(",")) for x in lines[1:] if x)
+
+
+def test_headers_in_another_order_go_the_longer_way(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("k,v\n1,a\n", encoding="utf-8")
+    (tmp_path / "b.csv").write_text("v,k\nb,2\n", encoding="utf-8")
+    assert records.plain_records(spark, str(tmp_path)) is None
+    assert sorted(map(tuple, files.read_csv(spark, str(tmp_path), "k string, v string").collect())) == [("1", "a"), ("2", "b")]
+
+
+def test_compressed_files_give_the_same_rows(spark, tmp_path):
+    rows = spark.range(500).selectExpr("id", "if(id % 7 = 0, 'two\nlines', 'one') AS t", "if(id % 5 = 0, null, '') AS u").repartition(3)
+    for codec in ("none", "gzip"):
+        files.write_csv(rows, str(tmp_path / codec), codec)
+    plain, packed = (files.read_csv(spark, str(tmp_path / codec), rows.schema) for codec in ("none", "gzip"))
+    assert sorted(map(tuple, packed.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    assert [p for p in os.listdir(tmp_path / "gzip") if p.endswith(".csv.gz")]

@@ -41,10 +41,13 @@ def scan_tasks(df: DataFrame) -> int | None:
     return None if found is None else max(found[0] // split, found[1])
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *keys: str) -> DataFrame:
     """The rows on all cores, for costly rules on rows, if fewer tasks than cores read them.
 
     That is so for a few small files only; a larger input is left as it is, without a shuffle.
+    Dealt by `keys`, of few rows each, the rows need no other shuffle for a join by them.
     """
     cores, tasks = df.sparkSession.sparkContext.defaultParallelism, scan_tasks(df)
-    return df.repartition(cores) if tasks is not None and tasks < cores else df
+    if tasks is None or tasks >= cores:
+        return df
+    return df.repartition(*keys) if keys else df.repartition(cores)

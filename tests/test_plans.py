@@ -83,3 +83,18 @@ def test_hot_key_of_a_join_is_split(spark):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_lines_are_shuffled_once_for_orders_and_customers(spark):
+    """Of orders and customers only orders refer to lines; their other join is made before."""
+    from lakemill.registry import Tables, roles
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = roles.encounters(Tables(spark, FOLDER))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    shuffles = [line for line in text.splitlines() if "Exchange " in line]
+    assert not [line for line in shuffles if "RoundRobin" in line]
+    # The lines by order, part and supplier, the other side of each, and orders and customers by customer.
+    assert len(shuffles) == 8

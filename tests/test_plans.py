@@ -98,3 +98,14 @@ def test_lines_are_shuffled_once_for_orders_and_customers(spark):
     assert not [line for line in shuffles if "RoundRobin" in line]
     # The lines by order, part and supplier, the other side of each, and orders and customers by customer.
     assert len(shuffles) == 8
+
+
+def test_run_record_counts_rows_while_it_cleans_them(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refuse(self):
+        raise AssertionError("a pass over the rows for their number alone")
+
+    monkeypatch.setattr(DataFrame, "count", refuse)
+    row = registry.runner(ENTRIES["D25"])(spark, FOLDER).first()
+    assert row.source_row_count == row.bronze_row_count == row.duplicate_count + registry.Tables(spark, FOLDER).lineitem.agg({"*": "count"}).first()[0]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -491,3 +492,41 @@ def test_token_files_of_a_hot_id(spark):
     assert sorted(((r.doc_id, r.crc) for r in got), key=str) == want
     ids = [2**63 if r.doc_id is None else r.doc_id for r in got]
     assert ids == sorted(ids) and [r.start for r in got] == np.cumsum([0, *[r.n_tokens for r in got[:-1]]]).tolist()
+
+
+def test_suffix_arrays_to_a_depth_group_equal_windows():
+    rng = np.random.default_rng(3)
+    for depth in (1, 5, 7, 20, 50):
+        texts = [rng.integers(0, 2, int(n), dtype=np.uint8).tobytes() * int(k) for n, k in zip(rng.integers(0, 60, 40), rng.integers(1, 4, 40))]
+        sizes = np.array([len(t) for t in texts])
+        raw = b"".join(texts)
+        left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(raw))
+        order, group = suffixes.suffix_array(np.frombuffer(raw, np.uint8), left, depth)
+        windows = [raw[p : p + depth] for p in order.tolist()]
+        assert windows == sorted(windows) and sorted(order.tolist()) == np.flatnonzero(left >= depth).tolist()
+        assert [a != b for a, b in zip(windows, windows[1:])] == [a != b for a, b in zip(group.tolist(), group[1:].tolist())]
+
+
+def test_names_are_dealt_evenly_over_bins():
+    names = suffixes.window_names(np.random.default_rng(4).integers(0, 256, 400_000, dtype=np.uint8), 50, 20)
+    names = np.unique(names)
+    sizes = np.diff(np.r_[0, np.searchsorted(names, suffixes.name_cuts(16, 31)), len(names)])
+    # Bounds at equal distances put five in six names into the first bin of sixteen.
+    assert len(sizes) == 16 and sizes.max() < 1.5 * sizes.mean()
+
+
+def test_pieces_of_frequent_names_hold_no_python_objects():
+    import pyarrow as pa
+
+    passage = bytes(np.random.default_rng(5).integers(97, 123, 1_000, dtype=np.uint8)).decode()
+    table = pa.table({"doc_id": pa.array(range(400), pa.int64()), "text": [f"{k:04d}" + passage for k in range(400)]})
+    shard = suffixes._Shard(table, set()).named(50, 20)
+    names, _, _ = shard.distinct()
+    tracemalloc.start()
+    pieces, uses = suffixes._cut_pieces(shard, np.full(len(names), 3, np.uint8), names, 50, 8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(uses["place"]) == 400 * 955 and peak < 150 * len(uses["place"])
+    raw = shard.raw.tobytes()
+    held = {raw[p : p + 50] for p in pieces["place"].tolist()}
+    assert len(held) == len(pieces["place"]) == len({raw[p : p + 50] for p in uses["place"].tolist()})

@@ -3,12 +3,13 @@
 Vectors are scaled to length 1 and turned into the axes of their principal components, which
 changes no product. Of two vectors the products of the leading components are added up first; what
 the others can still add is at most the product of the lengths of the two rests, so a comparison
-stops once even that does not reach the threshold. Tiles hold vectors that are near each other in
+stops if even that does not reach the threshold. Tiles hold vectors that are near each other in
 the first component, and two tiles whose ranges there lie too far apart are never compared.
 
 Equal vectors enter once, with their number. A task returns how many links each vector has and a
 forest of the links, never the pairs. The comparison of tiles is quadratic in their number; bounds
-cut what a pair of tiles costs and which are compared.
+cut what a pair of tiles costs and which are compared. Tiles are stored once and every task reads
+the files of two groups of them, so disk and shuffles grow with the vectors, not with the pairs.
 """
 
 from __future__ import annotations
@@ -24,16 +25,21 @@ from lakemill.llm.common import prepare
 from lakemill.llm.graph import components, forest
 from lakemill.session import settle
 
-#: Vectors in a tile.
-TILE = 4096
-#: Rows of a tile whose products are held at once.
-STRIPE = 512
-#: Leading components after each of which the bound is checked.
-LEADING = (8, 16, 32)
-#: Added to bounds, for the rounding of single precision; the last check is in double precision.
-SLACK = 1e-4
+#: Vectors in a tile, and bytes of them.
+TILE, TILE_BYTES = 8192, 16 << 20
+#: Pairs of tiles that reach a Python worker at once.
+PAIRS = 2
+#: Rows of two tiles whose products are held at once, about what a core's cache holds.
+STRIPE, WIDTH = 512, 1024
+#: Leading components after which the bound is checked.
+LEADING = 32
+#: Added to bounds, for the rounding of single precision, with a part for each component; the last
+#: check is in double precision.
+SLACK, SLACK_EACH = 1e-4, 2.0**-22
 #: Share of pairs left below which they are followed one by one.
 FEW = 0.02
+#: Numbers of the vectors that are followed one by one at once.
+FOLLOWED = 1 << 22
 
 
 def _unit(values: pa.Array, size: int) -> np.ndarray:
@@ -63,34 +69,31 @@ def principal_axes(distinct: DataFrame, size: int) -> np.ndarray:
 
 
 def linked_pairs(a: np.ndarray, b: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(row of a, row of b) of products that reach the threshold, in parts."""
+    """(row of a, row of b) of products that reach the threshold, in parts.
+
+    The length of the rest stands beside the leading components, so one product gives the bound.
+    """
     size = a.shape[1]
-    steps = [k for k in LEADING if k < size]
-    rest_a = {k: np.sqrt((a[:, k:] ** 2).sum(axis=1)) for k in steps}
-    rest_b = {k: np.sqrt((b[:, k:] ** 2).sum(axis=1)) for k in steps}
-    single_a, single_b = a.astype(np.float32), b.astype(np.float32)
+    least = threshold - SLACK - SLACK_EACH * size
+    whole = size <= LEADING
+
+    def bounding(v: np.ndarray) -> np.ndarray:
+        return v.astype(np.float32) if whole else np.hstack([v[:, :LEADING], np.sqrt((v[:, LEADING:] ** 2).sum(axis=1))[:, None]]).astype(np.float32)
+
+    lead_a, lead_b, step = bounding(a), bounding(b), max(1, FOLLOWED // size)
     for at in range(0, len(a), STRIPE):
-        rows = slice(at, at + STRIPE)
-        sums, done, left = np.zeros((len(a[rows]), len(b)), np.float32), 0, None
-        for k in steps:
-            sums += single_a[rows, done:k] @ single_b[:, done:k].T
-            done = k
-            left = sums + rest_a[k][rows, None].astype(np.float32) * rest_b[k].astype(np.float32) >= threshold - SLACK
-            if left.mean() < FEW:
-                break
-        if left is None:
-            left = np.ones((len(a[rows]), len(b)), bool)
-        i, j = np.nonzero(left)
-        for part in range(0, len(i), 1 << 18):
-            pi, pj = i[part : part + (1 << 18)], j[part : part + (1 << 18)]
-            p = sums[pi, pj].astype(np.float64)
-            for k in [s for s in steps if s > done]:
-                lo = max(s for s in steps if s < k)
-                p += np.einsum("ij,ij->i", a[at + pi, lo:k], b[pj, lo:k])
-                reach = p + rest_a[k][at + pi] * rest_b[k][pj] >= threshold - SLACK
-                pi, pj, p = pi[reach], pj[reach], p[reach]
-            exact = np.einsum("ij,ij->i", a[at + pi], b[pj]) >= threshold
-            yield at + pi[exact], pj[exact]
+        for to in range(0, len(b), WIDTH):
+            left = lead_a[at : at + STRIPE] @ lead_b[to : to + WIDTH].T >= least
+            if not left.any():
+                continue
+            if not whole and left.mean() > FEW:
+                left &= a[at : at + STRIPE].astype(np.float32) @ b[to : to + WIDTH].astype(np.float32).T >= least
+            i, j = np.nonzero(left)
+            for part in range(0, len(i), step):
+                pi, pj = at + i[part : part + step], to + j[part : part + step]
+                exact = np.einsum("ij,ij->i", a[pi], b[pj]) >= threshold
+                if exact.any():
+                    yield pi[exact], pj[exact]
 
 
 def _of_size(distinct: DataFrame, size: int, threshold: float, tile: int) -> DataFrame:
@@ -109,8 +112,8 @@ def _of_size(distinct: DataFrame, size: int, threshold: float, tile: int) -> Dat
                 )
 
     turned = settle(distinct.select("key", "copies", "v").mapInArrow(turn, "key long, copies long, c double, v binary"), "turned-vectors")
-    n = turned.count()
-    tiles = max(1, -(-n // tile))
+    tile = max(1, min(tile, TILE_BYTES // (8 * size)))
+    parts = max(1, -(-turned.count() * 5 // (4 * tile)))  # bounds of ranges come from samples; few parts are longer than a tile
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list = []
@@ -140,55 +143,56 @@ def _of_size(distinct: DataFrame, size: int, threshold: float, tile: int) -> Dat
         if held:
             yield out(held)
 
-    sorted_rows = turned.repartitionByRange(tiles, "c").sortWithinPartitions("c")
+    sorted_rows = turned.repartitionByRange(parts, "c").sortWithinPartitions("c")
     packed = sorted_rows.mapInArrow(pack, "low double, high double, keys binary, copies binary, v binary")
     stored = settle(packed.withColumn("tile", F.monotonically_increasing_id()), "tiles")
-    ranges = sorted((r.low, r.high, r.tile) for r in stored.select("low", "high", "tile").collect())  # a row a tile
     # Two unit vectors at the threshold are no further apart than this, in any component.
     far = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
-    partners: dict[int, list[int]] = {t: [] for *_, t in ranges}
-    for k, (_, high, t) in enumerate(ranges):
-        for low, _, other in ranges[k:]:
-            if low - high > far:
-                break
-            partners[t].append(other)
-            if other != t:
-                partners[other].append(t)
-    spark = distinct.sparkSession
-    pairs = spark.createDataFrame([(t, min(t, o), max(t, o)) for t, os in partners.items() for o in os], "tile long, a long, b long")
-
-    def compare(table: pa.Table) -> pa.Table:
-        number = table.column("tile").to_pylist()
-        load = lambda c, kind: [np.frombuffer(x.as_buffer(), kind) for x in table.column(c)]
-        keys, copies, v = load("keys", np.int64), load("copies", np.int64), [x.reshape(-1, size) for x in load("v", np.float64)]
-        a, b = (0, 0) if len(number) == 1 else ((0, 1) if number[0] < number[1] else (1, 0))
-        links_a, links_b = np.zeros(len(keys[a]), np.int64), np.zeros(len(keys[b]), np.int64)
+    one, other = (stored.select(*[F.col(c).alias(f"{c}_{side}") for c in stored.columns]) for side in "ab")
+    near = (F.col("low_a") - F.col("high_b") <= far) & (F.col("low_b") - F.col("high_a") <= far)
+    # Of the two orders of a pair one counts, each for half of the pairs, so that all tasks have work.
+    mark = F.xxhash64(F.least("tile_a", "tile_b"), F.greatest("tile_a", "tile_b")) % 2 == 0
+    once = (F.col("tile_a") == F.col("tile_b")) | ((F.col("tile_a") < F.col("tile_b")) == mark)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                load = lambda c, kind: np.frombuffer(batch.column(batch.schema.get_field_index(c))[row].as_buffer(), kind)  # noqa: B023, E731
+                yield linked(*[[load(f"{c}_{side}", kind) for side in "ab"] for c, kind in (("keys", np.int64), ("copies", np.int64), ("v", np.float64))])
+
+    def linked(keys: list[np.ndarray], copies: list[np.ndarray], v: list[np.ndarray]) -> pa.RecordBatch:
+        (a, b), same = (x.reshape(-1, size) for x in v), keys[0][0] == keys[1][0]  # a key is in one tile
+        links_a, links_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
         left, right = [], []
-        for i, j in linked_pairs(v[a], v[b], threshold):
-            if a == b:
+        for i, j in linked_pairs(a, b, threshold):
+            if same:
                 i, j = i[i < j], j[i < j]
             if not len(i):
                 continue
-            links_a += np.bincount(i, copies[b][j], len(links_a)).astype(np.int64)
-            links_b += np.bincount(j, copies[a][i], len(links_b)).astype(np.int64)
-            x, y = forest(keys[a][i], keys[b][j])
+            links_a += np.bincount(i, copies[1][j], len(a)).astype(np.int64)
+            links_b += np.bincount(j, copies[0][i], len(b)).astype(np.int64)
+            x, y = forest(keys[0][i], keys[1][j])
             left.append(x)
             right.append(y)
-        if a == b:
+        if same:
             links_a, links_b = links_a + links_b, links_b[:0]
-        key = np.concatenate([keys[a][links_a > 0], keys[b][: len(links_b)][links_b > 0]])
+        key = np.concatenate([keys[0][links_a > 0], keys[1][: len(links_b)][links_b > 0]])
         count = np.concatenate([links_a[links_a > 0], links_b[links_b > 0]])
         x, y = forest(np.concatenate(left), np.concatenate(right)) if left else (key[:0], key[:0])
-        return pa.table(
-            {
-                "key": pa.array(np.concatenate([key, x])),
-                "links": pa.array(np.concatenate([count, np.zeros(len(x), np.int64)])),
-                "other": pa.array(np.concatenate([np.full(len(key), -1), y]).astype(np.int64)),
-            }
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.concatenate([key, x])),
+                pa.array(np.concatenate([count, np.zeros(len(x), np.int64)])),
+                pa.array(np.concatenate([np.full(len(key), -1), y]).astype(np.int64)),
+            ],
+            names=["key", "links", "other"],
         )
 
-    matched = stored.select("tile", "keys", "copies", "v").join(F.broadcast(pairs), "tile")  # pairs: three numbers for two tiles
-    return matched.groupBy("a", "b").applyInArrow(compare, "key long, links long, other long")
+    # Tasks read the tiles from their files, two partitions each: a shuffle would send a tile once for each partner.
+    columns = [f"{c}_{side}" for side in "ab" for c in ("keys", "copies", "v")]
+    pairs = one.join(other.hint("shuffle_replicate_nl"), near & once).select(*columns)
+    prepare(distinct.sparkSession, PAIRS)
+    return settle(pairs.mapInArrow(compare, "key long, links long, other long"), "vector-links")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, tile: int = TILE) -> DataFrame:
@@ -224,9 +228,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     sizes = [r[0] for r in distinct.select(F.size("v")).distinct().collect()]
     found = None
     for size in sizes:  # in practice one
+        prepare(spark, 4096)
         part = _of_size(distinct.where(F.size("v") == size), size, threshold, tile)
         found = part if found is None else found.unionAll(part)
-    found = settle(found if found is not None else spark.createDataFrame([], "key long, links long, other long"), "vector-links")
+    found = found if found is not None else spark.createDataFrame([], "key long, links long, other long")
     links = found.where("links > 0").groupBy("key").agg(F.sum("links").alias("links"))
     groups = components(found.where("links = 0").select(F.col("key").alias("a"), F.col("other").alias("b")))
     named = (

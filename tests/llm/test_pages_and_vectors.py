@@ -44,6 +44,38 @@ def test_vectors_against_all_pairs(spark):
     assert vectors.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_tiles_are_not_shuffled_for_their_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    vs = rng.normal(size=(300, 6)).round(1)
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vs)], "vec_id long, embedding array<double>")
+    plans = {}
+
+    def settle(frame, label="settled"):
+        plans[label] = frame._jdf.queryExecution().executedPlan().toString()
+        return kept(frame, label)
+
+    kept = vectors.settle
+    monkeypatch.setattr(vectors, "settle", settle)
+    got = {r.vec_id: r.n_links for r in vectors.near_duplicates(df, tile=8).collect()}
+    assert "Exchange" not in plans["vector-links"] and "Exchange" in plans["tiles"]
+    unit = vs / np.sqrt((vs * vs).sum(axis=1, keepdims=True))
+    assert got == {k: int(n) for k, n in enumerate((unit @ unit.T >= 0.95).sum(axis=1) - 1)} and max(got.values()) > 1
+
+
+def test_linked_pairs_of_wide_and_narrow_vectors():
+    rng = np.random.default_rng(9)
+    for size, noise in ((20, 0.05), (90, 0.03), (90, 0.005)):
+        base = rng.normal(size=(3, size)) / np.sqrt(size)
+        a, b = (base[rng.integers(0, 3, n)] + noise * rng.normal(size=(n, size)) for n in (700, 1500))
+        a, b = (x / np.sqrt((x * x).sum(axis=1, keepdims=True)) for x in (a, b))
+        parts = list(vectors.linked_pairs(a, b, 0.95))
+        got = np.zeros((len(a), len(b)), int)
+        for i, j in parts:
+            np.add.at(got, (i, j), 1)
+        want = np.einsum("id,jd->ij", a, b) >= 0.95
+        assert np.array_equal(got, want) and 0 < want.sum() < want.size
+
+
 PAGES = [(1, "http://a", "<p>é</p>"), (2, "http://b", "<p>é</p>"), (3, None, None), (4, "http://d e\r\nX: y", ""), (5, "u", "z" * 9_000_000), (6, "v", "WARC/1.1\r\n\r\n"), (None, "w", "<p>é</p>"), (None, "w", "alone")]
 
 

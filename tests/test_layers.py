@@ -301,3 +301,34 @@ def test_first_merge_shuffles_rows_once_for_the_last_of_a_key(spark, tmp_path, m
     batch = spark.createDataFrame([(1, "a", 1, "x"), (2, "b", 5, "x")], BATCH)
     VersionTable(spark, str(tmp_path / "t"), 4).merge(batch, D1, ["place"], ["key"], ["amount"])
     assert len(calls) == 1
+
+
+def test_first_batch_by_row_ids_is_numbered_before_its_rows_move(spark, tmp_path, monkeypatch):
+    rows = [(k, f"k{k * 7 % 40}", k % 5 if k % 11 else None, f"note {k}") for k in range(1, 200)] + [(0, None, 1, "z")]
+    batch = settle(spark.createDataFrame(rows, BATCH).withColumn("place", F.col("place").cast("bigint")))
+    stored = {}
+
+    def watched(df, label="settled"):
+        stored.setdefault(label, df.columns)
+        return settle(df, label)
+
+    monkeypatch.setattr("lakemill.operators.versions.settle", watched)
+    monkeypatch.setattr("lakemill.operators.ordered.settle", watched)
+    tables = {}
+    for name, row_id in (("plain", None), ("ids", "place")):
+        table = VersionTable(spark, str(tmp_path / name), 4)
+        stored.clear()
+        found = table.merge(batch, D1, ["place"], ["key"], ["amount"], row_id=row_id)
+        got = found.statistics().first().asDict()
+        assert got == {"new": 41, "changed": 0, "expired": 0, "unchanged": 0}
+        tables[name] = table
+    assert stored == {"incoming": ["_key", "place"], "positions": ["place", "_at"]}  # of the second: no whole rows
+    columns = sorted(tables["plain"].read().columns)
+    rows_of = lambda t: sorted(map(str, t.read().select(columns).collect()))
+    assert columns == sorted(tables["ids"].read().columns) and rows_of(tables["plain"]) == rows_of(tables["ids"])
+    more = settle(spark.createDataFrame([(900, "k1", 77, "n"), (901, "new", 1, "n")], BATCH))
+    for table in tables.values():
+        table.merge(more, D2, ["place"], ["key"], ["amount"], row_id="place")
+    assert rows_of(tables["plain"]) == rows_of(tables["ids"]) and len(rows_of(tables["ids"])) == 43
+    with pytest.raises(ValueError, match="before the newest"):
+        tables["ids"].merge(more, D1, ["place"], ["key"], ["amount"], row_id="place")
